@@ -10,3 +10,34 @@ from terrace.registry import model
 for _key, _fn in {**silver.SILVER_MODELS, **marts.GOLD_MARTS}.items():
     model(_key, _fn)
     O.register(_key, O.table(_key))
+
+# Star schema (D1-D6) over the silver layer.
+from pyspark.sql import functions as F  # noqa: E402
+
+from terrace.plans import analytics, star  # noqa: E402
+from terrace.plans.silver import SilverTables  # noqa: E402
+
+
+def _star(fn):
+    def run(t):
+        out = fn(SilverTables(t))
+        if "payment_types" in out.columns and dict(out.dtypes)["payment_types"].startswith("array"):
+            # Arrays are reported as a ','-joined string so both engines hash the same text.
+            out = out.withColumn("payment_types", F.array_join("payment_types", ","))
+        return out
+    return run
+
+
+for _key, _fn in star.STAR_MODELS.items():
+    model(_key, _star(_fn))
+O.register("gold_fct_orders", O.build(
+    "SELECT * REPLACE (array_to_string(payment_types, ',') AS payment_types) FROM gold_fct_orders",
+    "gold_fct_orders"))
+for _key in ("gold_dim_customers", "gold_dim_products", "gold_dim_sellers", "int_order_details",
+             "int_customer_orders"):
+    O.register(_key, O.table(_key))
+
+# Analytic queries (Q1-Q10) over the gold marts.
+for _key, _fn in analytics.ANALYTIC_QUERIES.items():
+    model(_key, _fn)
+    O.register(_key, O.build(O.AQ[_key][0], *O.AQ[_key][1]))
