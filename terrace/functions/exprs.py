@@ -93,3 +93,18 @@ def pct(part: str | Column, total: str | Column) -> Column:
 def format_amount(c: str | Column) -> Column:
     """Thousands separators and two decimals, e.g. 10,000,000.00."""
     return F.format_number(col(c), 2)
+
+
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def epoch_seconds(ts: str | Column) -> Column:
+    """Whole seconds since 1970-01-01 00:00 of a wall-clock (UTC) timestamp."""
+    return F.timestamp_diff("SECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), col(ts))
+
+
+def epoch_to_local(epoch_s: str | Column, zone: str | Column) -> Column:
+    """Epoch seconds (UTC) -> wall-clock time in ``zone`` (a TIMESTAMP_NTZ)."""
+    utc = F.timestamp_add("SECOND", col(epoch_s), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    z = F.lit(zone) if isinstance(zone, str) else zone
+    return F.convert_timezone(F.lit("UTC"), z, utc)

@@ -41,3 +41,10 @@ for _key in ("gold_dim_customers", "gold_dim_products", "gold_dim_sellers", "int
 for _key, _fn in analytics.ANALYTIC_QUERIES.items():
     model(_key, _fn)
     O.register(_key, O.build(O.AQ[_key][0], *O.AQ[_key][1]))
+
+# Primitive operators (C, J, A, W, O, F rows).
+from terrace.plans import primitives  # noqa: E402
+
+for _key, (_fn, _sql, _deps) in primitives.PRIMS.items():
+    model(_key, _fn)
+    O.register(_key, O.build(_sql, *_deps))
