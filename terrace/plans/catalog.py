@@ -48,3 +48,10 @@ from terrace.plans import primitives  # noqa: E402
 for _key, (_fn, _sql, _deps) in primitives.PRIMS.items():
     model(_key, _fn)
     O.register(_key, O.build(_sql, *_deps))
+
+# Practice queries from the guides.
+from terrace.plans import practice  # noqa: E402
+
+for _key, (_fn, _sql, _deps) in practice.PRACTICE.items():
+    model(_key, _fn)
+    O.register(_key, O.build(_sql, *_deps))

@@ -681,8 +681,8 @@ def fn_format_amount(t):
 
 @prim("fn_char_length", """
 SELECT product_id, product_category_name, length(product_category_name) AS name_length FROM dim_product
-WHERE length(product_category_name) > 20""", "dim_product")
-def fn_char_length(t, min_len: int = 20):
+WHERE length(product_category_name) > 6""", "dim_product")
+def fn_char_length(t, min_len: int = 6):
     n = F.char_length("product_category_name")
     return (t["dim_product"].select("product_id", "product_category_name", n.alias("name_length"))
             .where(F.col("name_length") > min_len))
