@@ -55,3 +55,6 @@ from terrace.plans import practice  # noqa: E402
 for _key, (_fn, _sql, _deps) in practice.PRACTICE.items():
     model(_key, _fn)
     O.register(_key, O.build(_sql, *_deps))
+
+# Sources, sinks, quality tests, table edits, pipelines and the stream.
+from terrace.plans import io_catalog  # noqa: E402,F401
