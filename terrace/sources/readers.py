@@ -125,5 +125,6 @@ def read_forecast_arrays(spark: SparkSession, path: str, zone: str = "Asia/Bangk
                    F.sequence(F.col("time"), F.col("time_end") - F.col("interval"), F.col("interval"))) \
         .otherwise(F.array().cast("array<bigint>"))
     zipped = F.arrays_zip(steps.alias("t"), *[F.col(v).alias(v) for v in FORECAST_VARIABLES])
-    rows = docs.select("station", F.inline(zipped))
+    # arrays_zip pads the shorter arrays with NULLs; steps beyond the time axis are dropped.
+    rows = docs.select("station", F.inline(zipped)).where(F.col("t").isNotNull())
     return rows.select("station", epoch_to_local(F.col("t"), zone).alias("date"), *FORECAST_VARIABLES)
