@@ -64,3 +64,50 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_numbe
     return (ranged.join(F.broadcast(offsets), "_pid")
             .withColumn(name, F.row_number().over(w) + F.col("_off"))
             .drop("_pid", "_off"))
+
+
+def ranked(df: DataFrame, part_cols: list[str], order: list[Column], tie_cols: list[str],
+           row_number: str | None = None, rank: str | None = None, lead: tuple[str, str] | None = None,
+           partitions: int | None = None) -> DataFrame:
+    """``ROW_NUMBER`` / ``RANK`` / ``LEAD`` over ``PARTITION BY part_cols ORDER BY order``
+    without sending a whole partition-key group to one task.
+
+    The rows are range-partitioned on (part_cols, order), so a hot key (one state holding a
+    third of all customers) is spread over many contiguous range partitions. Per range
+    partition and key the rows are counted; the running count of the earlier range
+    partitions of the same key is the offset of the local row number. ``order`` must end with
+    a unique tie-breaker; ``tie_cols`` are the columns whose equality defines a rank tie.
+    RANK is the smallest row number of a tie group, LEAD the value of row number + 1.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in part_cols]
+    ranged = (df.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
+              .withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
+    # One row per (range partition, key): at most partitions + distinct keys rows.
+    before = Window.partitionBy(*part_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("_pid", *part_cols).agg(F.count(F.lit(1)).alias("_n"))
+               .select("_pid", *part_cols, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    local = Window.partitionBy("_pid", *part_cols).orderBy(*order)
+    rn_col = row_number or "_rn"
+    out = (_join_null_safe(ranged, offsets, ["_pid", *part_cols])
+           .withColumn(rn_col, F.row_number().over(local) + F.col("_off"))
+           .drop("_pid", "_off"))
+    if rank:
+        firsts = out.groupBy(*part_cols, *tie_cols).agg(F.min(rn_col).alias(rank))
+        out = _join_null_safe(out, firsts, [*part_cols, *tie_cols])
+    if lead:
+        value, name = lead
+        nxt = out.select(*part_cols, (F.col(rn_col) - 1).alias(rn_col), F.col(value).alias(name))
+        out = _join_null_safe(out, nxt, [*part_cols, rn_col])
+    return out if row_number else out.drop(rn_col)
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
+    """Left join on ``cols`` where NULL matches NULL (keys that are part of a row's identity)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols],
+                     *[c for c in right.columns if c not in cols])
+    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in cols]
+    return left.join(r, cond, "left").drop(*[f"_r_{c}" for c in cols])

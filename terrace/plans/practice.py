@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window, functions as F
 
 from terrace.functions import exprs as X
+from terrace.functions.stats import ranked
 from terrace.oracle import R2
 from terrace.plans import analytics, marts, star
 from terrace.plans.silver import SilverTables
@@ -93,9 +94,9 @@ SELECT seller_state, seller_id, total_revenue,
        RANK() OVER (PARTITION BY seller_state ORDER BY total_revenue DESC NULLS FIRST) AS state_rank
 FROM gold_seller_performance""", "gold_seller_performance")
 def p_seller_rank_state(t):
-    w = Window.partitionBy("seller_state").orderBy(F.col("total_revenue").desc_nulls_first())
-    return marts.gold_seller_performance(t).select("seller_state", "seller_id", "total_revenue",
-                                                   F.rank().over(w).alias("state_rank"))
+    s = marts.gold_seller_performance(t).select("seller_state", "seller_id", "total_revenue")
+    return ranked(s, ["seller_state"], [F.col("total_revenue").desc_nulls_first(), F.col("seller_id")],
+                  ["total_revenue"], rank="state_rank")
 
 
 @practice("p_monthly_running", """
@@ -141,6 +142,6 @@ SELECT customer_state, customer_id, total_revenue,
        RANK() OVER (PARTITION BY customer_state ORDER BY total_revenue DESC) AS state_rank
 FROM gold_dim_customers""", "gold_dim_customers")
 def p_customer_rank_state(t):
-    c = star.gold_dim_customers(SilverTables(t))
-    w = Window.partitionBy("customer_state").orderBy(F.col("total_revenue").desc())
-    return c.select("customer_state", "customer_id", "total_revenue", F.rank().over(w).alias("state_rank"))
+    c = star.gold_dim_customers(SilverTables(t)).select("customer_state", "customer_id", "total_revenue")
+    return ranked(c, ["customer_state"], [F.col("total_revenue").desc(), F.col("customer_id")],
+                  ["total_revenue"], rank="state_rank")

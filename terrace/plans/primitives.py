@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window, functions as F
 
 from terrace.functions import exprs as X
-from terrace.functions.stats import exact_median, global_row_number
+from terrace.functions.stats import exact_median, global_row_number, ranked
 from terrace.oracle import INITCAP, R2
 from terrace.plans import analytics, marts
 from terrace.plans.silver import SilverTables
@@ -520,11 +520,9 @@ SELECT seller_state, seller_id, total_revenue,
        LEAD(total_revenue) OVER (PARTITION BY seller_state ORDER BY total_revenue DESC NULLS FIRST, seller_id) AS next_revenue
 FROM gold_seller_performance""", "gold_seller_performance")
 def win_rank_lead(t):
-    s = marts.gold_seller_performance(t)
-    w = Window.partitionBy("seller_state").orderBy(F.col("total_revenue").desc_nulls_first())
-    w2 = Window.partitionBy("seller_state").orderBy(F.col("total_revenue").desc_nulls_first(), "seller_id")
-    return s.select("seller_state", "seller_id", "total_revenue", F.rank().over(w).alias("rnk"),
-                    F.lead("total_revenue").over(w2).alias("next_revenue"))
+    s = marts.gold_seller_performance(t).select("seller_state", "seller_id", "total_revenue")
+    return ranked(s, ["seller_state"], [F.col("total_revenue").desc_nulls_first(), F.col("seller_id")],
+                  ["total_revenue"], rank="rnk", lead=("total_revenue", "next_revenue"))
 
 
 # ====================================================================== 2.7 sorts / limits

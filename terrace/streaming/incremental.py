@@ -33,8 +33,6 @@ def stream_incremental_orders(spark: SparkSession, raw: Mapping[str, DataFrame],
     schema = T.StructType(schemas.RAW_SCHEMAS["fact_order"].fields + [T.StructField("ym", T.StringType())])
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(landed))
-    state = {"path": None}
-
     def apply(batch: DataFrame, batch_id: int) -> None:
         # Rebuild fact rows for the batch's orders from the silver layer over the raw tables,
         # with the batch's rows as the order source.
@@ -43,14 +41,33 @@ def stream_incremental_orders(spark: SparkSession, raw: Mapping[str, DataFrame],
         fact = star.gold_fct_orders(silver.SilverTables(scoped))
         fact = fact.withColumn("payment_types", F.array_join("payment_types", ","))
         new_path = f"{target}/v{batch_id:06d}"
-        if state["path"] is None:
-            merged = fact
-        else:
-            merged = upsert_delete_insert(spark.read.parquet(state["path"]), fact, ["order_id"])
+        # The base is the newest *committed* version older than this batch, found on storage,
+        # so a restarted query (or a replayed batch) continues from what is really there.
+        base = latest_version(spark, target, below=batch_id)
+        merged = fact if base is None else upsert_delete_insert(spark.read.parquet(base), fact, ["order_id"])
         write_parquet(merged, new_path)
-        state["path"] = new_path
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return state["path"]
+    return latest_version(spark, target)
+
+
+def latest_version(spark: SparkSession, target: str, below: int | None = None) -> str | None:
+    """Folder of the newest committed version ``v<batch>`` (one with a _SUCCESS marker)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(target)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    best = None
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith("v") and name[1:].isdigit()):
+            continue
+        v = int(name[1:])
+        if below is not None and v >= below:
+            continue
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")) and (best is None or v > best[0]):
+            best = (v, st.getPath().toString())
+    return best[1] if best else None

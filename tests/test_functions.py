@@ -72,3 +72,24 @@ def test_global_row_number_with_ties(spark):
     want = [r.id for r in sorted(df.collect(), key=lambda r: (-r.k, r.id))]
     assert got == want
     assert out.agg(F.min("rn"), F.max("rn")).collect()[0] == (1, 2000)
+
+
+def test_ranked_matches_window_on_hot_key(spark):
+    from pyspark.sql import Window
+
+    from terrace.functions.stats import ranked
+    # One key holds most rows; NULL keys and NULL / tied values included.
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).when(F.col("id") % 10 == 9, F.lit(None)).otherwise(
+            (F.col("id") % 5).cast("string")).alias("k"),
+        F.when(F.col("id") % 97 == 0, F.lit(None)).otherwise((F.col("id") % 41).cast("double")).alias("v"),
+        F.col("id"))
+    order = [F.col("v").desc_nulls_first(), F.col("id")]
+    got = ranked(df, ["k"], order, ["v"], row_number="rn", rank="rk", lead=("v", "next_v"), partitions=6)
+    w = Window.partitionBy("k").orderBy(*order)
+    want = df.select("id", F.row_number().over(w).alias("rn"),
+                     F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc_nulls_first())).alias("rk"),
+                     F.lead("v").over(w).alias("next_v"))
+    g = {r.id: (r.rn, r.rk, r.next_v) for r in got.collect()}
+    e = {r.id: (r.rn, r.rk, r.next_v) for r in want.collect()}
+    assert g == e
