@@ -525,6 +525,33 @@ def items_unit_price(spark, sf_dir):
     return P.items_unit_price(P.item_rows_from_order_items(Tables(spark, sf_dir)["fact_order_item"]))
 
 
+ITEM_ROWS_SQL = """
+WITH rows AS (
+    SELECT order_id * 100 + order_item_id AS idx,
+           CASE WHEN product_id % 7 = 0 THEN NULL ELSE 'product_' || CAST(product_id AS VARCHAR) END AS nama,
+           price * order_item_id AS harga_total,
+           CASE WHEN order_item_id % 4 = 0 THEN 0.0 WHEN order_item_id % 5 = 0 THEN NULL
+                ELSE CAST(order_item_id AS DOUBLE) END AS jumlah
+    FROM fact_order_item)"""
+
+
+@key("safe_unit_price", ITEM_ROWS_SQL + """
+SELECT idx, CASE WHEN harga_total IS NULL OR jumlah IS NULL THEN 'missing_field' WHEN jumlah = 0 THEN 'zero_divisor'
+                 ELSE 'ok' END AS status,
+       CASE WHEN harga_total IS NOT NULL AND jumlah IS NOT NULL AND jumlah <> 0 THEN harga_total / jumlah END AS harga_satuan
+FROM rows""", "fact_order_item")
+def safe_unit_price(spark, sf_dir):
+    out = P.items_unit_price(P.item_rows_from_order_items(Tables(spark, sf_dir)["fact_order_item"]))
+    return out.select("idx", "status", "harga_satuan")
+
+
+@key("default_name", ITEM_ROWS_SQL + """
+SELECT idx, COALESCE(nama, 'Barang_Tanpa_Nama_' || CAST(idx AS VARCHAR)) AS nama FROM rows""", "fact_order_item")
+def default_name(spark, sf_dir):
+    out = P.items_unit_price(P.item_rows_from_order_items(Tables(spark, sf_dir)["fact_order_item"]))
+    return out.select("idx", "nama")
+
+
 @key("posts_clean", """
 SELECT doc_id AS author_id, source AS title, text AS body, length(text) AS body_length FROM documents
 WHERE source IS NOT NULL AND text IS NOT NULL AND length(text) > 50""")

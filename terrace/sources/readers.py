@@ -128,3 +128,11 @@ def read_forecast_arrays(spark: SparkSession, path: str, zone: str = "Asia/Bangk
     # arrays_zip pads the shorter arrays with NULLs; steps beyond the time axis are dropped.
     rows = docs.select("station", F.inline(zipped)).where(F.col("t").isNotNull())
     return rows.select("station", epoch_to_local(F.col("t"), zone).alias("date"), *FORECAST_VARIABLES)
+
+
+# ---------------------------------------------------------------- S9
+def literal_rows(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """In-memory rows (dicts); a missing field becomes NULL. For small literal inputs only
+    (tests, parameters): anything data-sized is read from storage instead."""
+    names = schema.fieldNames()
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)

@@ -128,3 +128,10 @@ def test_item_rows_keep_every_row(spark):
     assert out[104].status == "zero_divisor"
     assert out[205].status == "missing_field" and out[205].missing_column == "harga_total"
     assert F is not None
+
+
+def test_literal_rows_missing_field_is_null(spark):
+    rows = [{"idx": 0, "nama": "Laptop", "harga_total": 50000000.0, "jumlah": 5.0},
+            {"idx": 2, "nama": "Keyboard", "harga_total": 1200000.0}]
+    df = S.literal_rows(spark, rows, schemas.ITEM_ROW)
+    assert [r.jumlah for r in df.orderBy("idx").collect()] == [5.0, None]
