@@ -75,7 +75,7 @@ def q04_top3_per_category(t: Tables, k: int = 3) -> DataFrame:
     p = marts.gold_product_performance(t).where(F.col("total_units_sold") > 0)
     w = Window.partitionBy("category_english").orderBy(F.col("total_revenue").desc_nulls_first())
     return (p.select("category_english", "product_id", "total_units_sold", "total_revenue",
-                     F.dense_rank().over(w).alias("rank_in_category"))
+                     F.dense_rank().over(w).cast("bigint").alias("rank_in_category"))
             .where(F.col("rank_in_category") <= k)
             .orderBy("category_english", "rank_in_category", "product_id"))
 

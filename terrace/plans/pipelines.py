@@ -74,7 +74,7 @@ def posts_clean(posts: DataFrame, min_length: int = 50) -> DataFrame:
     """Drop rows with a NULL title or body, keep bodies longer than ``min_length`` characters,
     rename userId -> author_id."""
     return (posts.dropna(subset=["title", "body"])
-            .withColumn("body_length", F.char_length("body"))
+            .withColumn("body_length", F.char_length("body").cast("bigint"))
             .where(F.col("body_length") > min_length)
             .withColumnRenamed("userId", "author_id"))
 

@@ -65,7 +65,7 @@ def p_payment_rank_month(t):
     per_month = (t["fact_order_payment"].select("order_id", "payment_type").join(months, "order_id")
                  .groupBy("month", "payment_type").agg(F.count(F.lit(1)).alias("transactions")))
     w = Window.partitionBy("month").orderBy(F.col("transactions").desc())
-    return per_month.select("month", "payment_type", "transactions", F.dense_rank().over(w).alias("popularity_rank"))
+    return per_month.select("month", "payment_type", "transactions", F.dense_rank().over(w).cast("bigint").alias("popularity_rank"))
 
 
 @practice("p_delivered_daily", """
@@ -126,7 +126,7 @@ def p_wow_change(t):
 
 @practice("p_star_category", f"""
 WITH category_stats AS (
-    SELECT product_category_english, COUNT(*) AS products, SUM(total_orders) AS orders,
+    SELECT product_category_english, COUNT(*) AS products, CAST(SUM(total_orders) AS BIGINT) AS orders,
            {R2('SUM(total_revenue)')} AS revenue
     FROM gold_dim_products GROUP BY product_category_english)
 SELECT * FROM category_stats ORDER BY revenue DESC""", "gold_dim_products")

@@ -415,26 +415,29 @@ def agg_median(t):
 
 @prim("agg_named_groupby", """
 SELECT o.order_status, COUNT(DISTINCT o.order_id) AS total_orders, COUNT(oi.order_item_id) AS total_items,
-       COALESCE(SUM(oi.price), 0) AS total_revenue
+       CAST(COALESCE(SUM(CAST(oi.price AS DECIMAL(38,10))), 0) AS DOUBLE) AS total_revenue
 FROM fact_order o LEFT JOIN fact_order_item oi ON o.order_id = oi.order_id
 WHERE o.order_status IS NOT NULL GROUP BY o.order_status""", "fact_order", "fact_order_item")
 def agg_named_groupby(t):
-    it = marts.item_stats_per_order(t["fact_order_item"])
+    # Money is accumulated exactly (DECIMAL), so the per-order pre-aggregation cannot change
+    # the last digits of the total.
+    it = t["fact_order_item"].groupBy("order_id").agg(
+        F.count("order_item_id").alias("it_n"), F.sum(F.col("price").cast("decimal(38,10)")).alias("it_price"))
     o = t["fact_order"].where(F.col("order_status").isNotNull()).select("order_id", "order_status")
     return (o.join(it, "order_id", "left").groupBy("order_status").agg(
         F.countDistinct("order_id").alias("total_orders"),
         F.coalesce(F.sum("it_n"), F.lit(0)).alias("total_items"),
-        F.coalesce(F.sum("it_price"), F.lit(0.0)).alias("total_revenue")))
+        F.coalesce(F.sum("it_price"), F.lit(0)).cast("double").alias("total_revenue")))
 
 
 @prim("agg_sum_line_numbers", """
-SELECT product_id, SUM(order_item_id) AS units_sold FROM fact_order_item GROUP BY product_id""", "fact_order_item")
+SELECT product_id, CAST(SUM(order_item_id) AS BIGINT) AS units_sold FROM fact_order_item GROUP BY product_id""", "fact_order_item")
 def agg_sum_line_numbers(t):
     return t["fact_order_item"].groupBy("product_id").agg(F.sum("order_item_id").alias("units_sold"))
 
 
 @prim("agg_scale_then_reduce", """
-SELECT COUNT(x) AS count, SUM(x) AS total FROM (SELECT order_item_id * 3 AS x FROM fact_order_item)""",
+SELECT COUNT(x) AS count, CAST(SUM(x) AS BIGINT) AS total FROM (SELECT order_item_id * 3 AS x FROM fact_order_item)""",
       "fact_order_item")
 def agg_scale_then_reduce(t, multiplier: int = 3):
     x = t["fact_order_item"].select((F.col("order_item_id") * multiplier).alias("x"))
@@ -468,7 +471,7 @@ SELECT * FROM (SELECT seller_state, seller_id, total_revenue,
 def win_dense_rank(t):
     w = Window.partitionBy("seller_state").orderBy(F.col("total_revenue").desc_nulls_first())
     return (marts.gold_seller_performance(t)
-            .select("seller_state", "seller_id", "total_revenue", F.dense_rank().over(w).alias("rnk"))
+            .select("seller_state", "seller_id", "total_revenue", F.dense_rank().over(w).cast("bigint").alias("rnk"))
             .where(F.col("rnk") <= 3))
 
 
@@ -483,7 +486,7 @@ def win_row_number(t):
 
 
 @prim("win_running_total", """
-SELECT order_date, total_orders, SUM(total_orders) OVER (ORDER BY order_date) AS cumulative_orders
+SELECT order_date, total_orders, CAST(SUM(total_orders) OVER (ORDER BY order_date) AS BIGINT) AS cumulative_orders
 FROM gold_daily_sales_summary""", "gold_daily_sales_summary")
 def win_running_total(t):
     d = marts.gold_daily_sales_summary(t)
@@ -681,7 +684,7 @@ def fn_format_amount(t):
 SELECT product_id, product_category_name, length(product_category_name) AS name_length FROM dim_product
 WHERE length(product_category_name) > 6""", "dim_product")
 def fn_char_length(t, min_len: int = 6):
-    n = F.char_length("product_category_name")
+    n = F.char_length("product_category_name").cast("bigint")
     return (t["dim_product"].select("product_id", "product_category_name", n.alias("name_length"))
             .where(F.col("name_length") > min_len))
 

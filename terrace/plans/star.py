@@ -73,7 +73,7 @@ def gold_dim_customers(s: Silver) -> DataFrame:
         F.coalesce("avg_review_score", F.lit(0.0)).alias("avg_review_score"),
         "first_order_date", "last_order_date",
         F.when(first.isNotNull() & last.isNotNull(), boundary_days(first, last)).otherwise(F.lit(0))
-        .alias("customer_tenure_days"))
+        .cast("bigint").alias("customer_tenure_days"))
 
 
 # ---------------------------------------------------------------- D2
