@@ -33,19 +33,38 @@ def initcap_words(c: str | Column) -> Column:
         "")
 
 
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def wall_clock_seconds(ts: str | Column) -> Column:
+    """Exact seconds (DECIMAL, microsecond precision) from 1970-01-01 00:00 to a wall-clock
+    TIMESTAMP_NTZ. Built on NTZ subtraction, which is zone-free; ``timestamp_diff`` and
+    casts to TIMESTAMP would read the session time zone (and its DST gaps)."""
+    iv = col(ts) - F.lit(EPOCH_NTZ).cast("timestamp_ntz")
+    whole = (F.extract(F.lit("DAY"), iv).cast("decimal(20,0)") * 86400
+             + F.extract(F.lit("HOUR"), iv) * 3600 + F.extract(F.lit("MINUTE"), iv) * 60)
+    return (whole + F.extract(F.lit("SECOND"), iv)).cast("decimal(20,6)")
+
+
+def seconds_between(end: str | Column, start: str | Column) -> Column:
+    """Exact seconds ``end - start`` as DECIMAL (negative when end is earlier)."""
+    return wall_clock_seconds(end) - wall_clock_seconds(start)
+
+
 def hours_between(end: str | Column, start: str | Column) -> Column:
     """Fractional hours ``end - start`` (negative when end is earlier); NULL-propagating."""
-    return F.timestamp_diff("MICROSECOND", col(start), col(end)).cast("double") / F.lit(3.6e9)
+    return seconds_between(end, start).cast("double") / F.lit(3600.0)
 
 
 def hours_between_seconds(end: str | Column, start: str | Column) -> Column:
-    """Whole seconds between the two instants divided by 3600.0."""
-    return F.timestamp_diff("SECOND", col(start), col(end)).cast("double") / F.lit(3600.0)
+    """Second boundaries crossed between the two instants, divided by 3600.0."""
+    whole = F.floor(wall_clock_seconds(end)) - F.floor(wall_clock_seconds(start))
+    return whole.cast("double") / F.lit(3600.0)
 
 
 def elapsed_days(start: str | Column, end: str | Column) -> Column:
-    """Number of whole 24-hour periods between two timestamps."""
-    return F.timestamp_diff("DAY", col(start), col(end))
+    """Number of whole 24-hour periods between two timestamps (truncated toward zero)."""
+    return (seconds_between(end, start) / 86400).cast("bigint")
 
 
 def boundary_days(start: str | Column, end: str | Column) -> Column:
@@ -53,6 +72,24 @@ def boundary_days(start: str | Column, end: str | Column) -> Column:
     return F.datediff(F.to_date(col(end)), F.to_date(col(start)))
 
 
+def wall_clock_text(ts: str | Column, minutes_only: bool = False) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` (or ``yyyy-MM-dd HH:mm``) of a TIMESTAMP_NTZ, zone-free
+    (``date_format`` would pass through the session time zone)."""
+    text = col(ts).cast("string")
+    return F.substring(text, 1, 16) if minutes_only else F.substring(text, 1, 19)
+
+
+def year_month(ts: str | Column) -> Column:
+    """``yyyyMM`` of a date or timestamp, zone-free."""
+    d = F.to_date(col(ts))
+    return (F.year(d) * 100 + F.month(d)).cast("string")
+
+
+def month_start(ts: str | Column) -> Column:
+    """First day of the month of a date/timestamp, as TIMESTAMP_NTZ (zone-free)."""
+    return F.trunc(F.to_date(col(ts)), "month").cast("timestamp_ntz")
+
+
 def safe_ratio(num: str | Column, den: str | Column) -> Column:
     """``num / NULLIF(den, 0)`` as a double; NULL instead of a division error."""
     return F.try_divide(col(num).cast("double"), F.nullif(col(den), F.lit(0)).cast("double"))
@@ -95,16 +132,14 @@ def format_amount(c: str | Column) -> Column:
     return F.format_number(col(c), 2)
 
 
-EPOCH_NTZ = "1970-01-01 00:00:00"
-
 
 def epoch_seconds(ts: str | Column) -> Column:
     """Whole seconds since 1970-01-01 00:00 of a wall-clock (UTC) timestamp."""
-    return F.timestamp_diff("SECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), col(ts))
+    return F.floor(wall_clock_seconds(ts)).cast("bigint")
 
 
 def epoch_to_local(epoch_s: str | Column, zone: str | Column) -> Column:
     """Epoch seconds (UTC) -> wall-clock time in ``zone`` (a TIMESTAMP_NTZ)."""
-    utc = F.timestamp_add("SECOND", col(epoch_s), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    utc = F.lit(EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(secs=col(epoch_s).cast("decimal(18,6)"))
     z = F.lit(zone) if isinstance(zone, str) else zone
     return F.convert_timezone(F.lit("UTC"), z, utc)

@@ -10,6 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from terrace.functions.exprs import hours_between
+
 REPORT_COLS = ("model", "test", "column", "failing_rows", "status")
 
 
@@ -55,7 +57,7 @@ def dq_source_freshness(df: DataFrame, model: str, loaded_at: str, now: str,
     """Age of the newest ``loaded_at`` against a fixed 'now' (deterministic): warn after
     ``warn_hours``, error after ``error_hours``."""
     newest = F.max(loaded_at)
-    age = (F.timestamp_diff("SECOND", newest, F.lit(now).cast("timestamp_ntz")) / 3600.0).alias("age_hours")
+    age = hours_between(F.lit(now).cast("timestamp_ntz"), newest).alias("age_hours")
     a = df.agg(newest.alias("max_loaded_at"), age)
     status = (F.when(F.col("age_hours") > error_hours, "error").when(F.col("age_hours") > warn_hours, "warn")
               .otherwise("pass"))

@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from terrace import schemas
+from terrace.functions.exprs import year_month
 from terrace.session import path_exists
 
 
@@ -80,9 +81,9 @@ def write_sorted(df: DataFrame, path: str, keys: Sequence[str], partitions: int
 
 def write_partitioned_by_month(df: DataFrame, path: str, ts_col: str, part_col: str = "ym") -> str:
     """Partition a fact by ``yyyyMM`` of a timestamp; readers filtering on ``ym`` prune folders."""
-    out = df.withColumn(part_col, F.date_format(ts_col, "yyyyMM"))
-    # Cluster rows of the same month together so each task writes few files.
-    out.repartition(part_col).write.mode("overwrite").partitionBy(part_col).parquet(path)
+    # No repartition by month: a hot month would land in a single task. Each task writes one
+    # file per month it holds (the partitioned writer sorts by month inside the task).
+    df.withColumn(part_col, year_month(ts_col)).write.mode("overwrite").partitionBy(part_col).parquet(path)
     return path
 
 

@@ -61,7 +61,7 @@ FROM (SELECT date_trunc('month', o.order_purchase_timestamp) AS month, p.payment
           "fact_order_payment", "fact_order")
 def p_payment_rank_month(t):
     months = t["fact_order"].select(
-        "order_id", F.date_trunc("month", "order_purchase_timestamp").cast("timestamp_ntz").alias("month"))
+        "order_id", X.month_start("order_purchase_timestamp").alias("month"))
     per_month = (t["fact_order_payment"].select("order_id", "payment_type").join(months, "order_id")
                  .groupBy("month", "payment_type").agg(F.count(F.lit(1)).alias("transactions")))
     w = Window.partitionBy("month").orderBy(F.col("transactions").desc())
@@ -105,7 +105,7 @@ FROM (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, SUM(CAST(to
       FROM gold_daily_sales_summary GROUP BY 1)""", "gold_daily_sales_summary")
 def p_monthly_running(t):
     m = (marts.gold_daily_sales_summary(t)
-         .groupBy(F.date_trunc("month", "order_date").cast("date").alias("month"))
+         .groupBy(F.trunc("order_date", "month").alias("month"))
          .agg(analytics.exact_sum("total_revenue").alias("revenue")))
     # Month grain: bounded by the calendar, so an unpartitioned running window is fine.
     return m.select("month", F.col("revenue").cast("double").alias("revenue"),
@@ -119,7 +119,7 @@ FROM (SELECT CAST(date_trunc('week', order_date) AS DATE) AS week, SUM(CAST(tota
       FROM gold_daily_sales_summary GROUP BY 1)""", "gold_daily_sales_summary")
 def p_wow_change(t):
     wk = (marts.gold_daily_sales_summary(t)
-          .groupBy(F.date_trunc("week", "order_date").cast("date").alias("week"))
+          .groupBy(F.trunc("order_date", "week").alias("week"))
           .agg(analytics.exact_sum("total_revenue").cast("double").alias("revenue")))
     return wk.select("week", "revenue", analytics.change_pct("revenue", Window.orderBy("week")).alias("wow_change_pct"))
 

@@ -669,7 +669,7 @@ def fn_to_string_keep_null(t):
     return t["fact_order_review"].select(
         "review_id", F.col("review_id").cast("string").alias("review_id_text"),
         F.col("review_score").cast("string").alias("score_text"),
-        F.date_format("review_creation_date", "yyyy-MM-dd HH:mm:ss").alias("created_text"))
+        X.wall_clock_text("review_creation_date").alias("created_text"))
 
 
 @prim("fn_format_amount", """
@@ -703,7 +703,7 @@ def fn_profit_margin(t):
 SELECT date_trunc('month', order_purchase_timestamp) AS month, COUNT(*) AS orders FROM fact_order GROUP BY 1""",
       "fact_order")
 def fn_trunc_month(t):
-    return (t["fact_order"].groupBy(F.date_trunc("month", "order_purchase_timestamp").cast("timestamp_ntz").alias("month"))
+    return (t["fact_order"].groupBy(X.month_start("order_purchase_timestamp").alias("month"))
             .agg(F.count(F.lit(1)).alias("orders")))
 
 
@@ -716,7 +716,7 @@ def fn_titlecase(t):
 SELECT order_id, strptime(strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M'), '%Y-%m-%d %H:%M') AS parsed
 FROM fact_order""", "fact_order")
 def fn_parse_timestamp(t):
-    text = F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm")
+    text = X.wall_clock_text("order_purchase_timestamp", minutes_only=True)
     return t["fact_order"].select("order_id", F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm")).alias("parsed"))
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from terrace import schemas
+from terrace.functions.exprs import wall_clock_text
 
 PAGE_SIZE = 30       # products per API page
 HOURS_PER_DOC = 24   # hourly readings per weather / forecast document
@@ -62,7 +63,7 @@ def weather_hours(events: DataFrame) -> DataFrame:
     e = F.col("event_id")
     return events.select(
         "event_id",
-        F.date_format("ts", "yyyy-MM-dd HH:mm").alias("time"),
+        wall_clock_text("ts", minutes_only=True).alias("time"),
         F.col("value").alias("temp_c"), (F.col("value") - 1.5).alias("feelslike_c"),
         (F.col("user_id") % 100).alias("humidity"), (F.lit(1000.0) + F.col("value")).alias("pressure_mb"),
         (F.col("value") / 2).alias("wind_kph"), (e % 360).alias("wind_degree"),

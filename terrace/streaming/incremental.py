@@ -15,6 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from terrace import schemas
+from terrace.functions.exprs import year_month
 from terrace.operators.sinks import write_parquet
 from terrace.operators.upsert import upsert_delete_insert
 from terrace.plans import silver, star
@@ -22,8 +23,8 @@ from terrace.plans import silver, star
 
 def land_orders_by_month(orders: DataFrame, folder: str) -> str:
     """Land raw orders as one folder of files per purchase month (the file drop)."""
-    (orders.withColumn("ym", F.date_format("order_purchase_timestamp", "yyyyMM"))
-     .repartition("ym").write.mode("overwrite").partitionBy("ym").parquet(folder))
+    (orders.withColumn("ym", year_month("order_purchase_timestamp"))
+     .write.mode("overwrite").partitionBy("ym").parquet(folder))
     return folder
 
 

@@ -93,3 +93,18 @@ def test_ranked_matches_window_on_hot_key(spark):
     g = {r.id: (r.rn, r.rk, r.next_v) for r in got.collect()}
     e = {r.id: (r.rn, r.rk, r.next_v) for r in want.collect()}
     assert g == e
+
+
+def test_time_helpers_ignore_session_time_zone(spark):
+    # 1999-10-03 00:00 does not exist on São Paulo wall clocks (DST gap); NTZ math must not care.
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'1999-10-03 00:00:00' AS a, timestamp_ntz'1999-10-03 01:00:00' AS b")
+        r = df.select(X.hours_between("b", "a").alias("h"), X.hours_between_seconds("b", "a").alias("hs"),
+                      X.wall_clock_text("a").alias("t"), X.epoch_seconds("a").alias("e"),
+                      X.year_month("a").alias("ym"), X.month_start("b").alias("m")).collect()[0]
+        assert (r.h, r.hs, r.t, r.e, r.ym) == (1.0, 1.0, "1999-10-03 00:00:00", 938908800, "199910")
+        assert str(r.m) == "1999-10-01 00:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from terrace.functions.exprs import year_month
 from terrace.plans import silver, star
 from terrace.sources.fixtures import Tables
 from terrace.streaming.incremental import stream_incremental_orders
@@ -14,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 def test_stream_restart_matches_batch(spark, tmp_dir):
     raw = Tables(spark, SF)
     tables = {n: raw[n] for n in raw}
-    orders = tables["fact_order"].withColumn("ym", F.date_format("order_purchase_timestamp", "yyyyMM"))
+    orders = tables["fact_order"].withColumn("ym", year_month("order_purchase_timestamp"))
     landed, target, ckpt = (os.path.join(tmp_dir, x) for x in ("landed", "target", "ckpt"))
     early = orders.where(F.year("order_purchase_timestamp") < 1998)
     early.write.partitionBy("ym").parquet(landed)
