@@ -143,3 +143,12 @@ def epoch_to_local(epoch_s: str | Column, zone: str | Column) -> Column:
     utc = F.lit(EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(secs=col(epoch_s).cast("decimal(18,6)"))
     z = F.lit(zone) if isinstance(zone, str) else zone
     return F.convert_timezone(F.lit("UTC"), z, utc)
+
+
+def share_of_group_total(part: str | Column) -> Column:
+    """``ROUND(100 * part / SUM(part) OVER (), 2)`` for a result that is already grouped by a
+    small, bounded dimension (review score, status, payment type, category). The window sees
+    one row per group, so the whole (tiny) result in one task is fine, and the expensive input
+    is computed once instead of once more for a separate total."""
+    from pyspark.sql import Window
+    return pct(part, F.sum(col(part)).over(Window.partitionBy()))

@@ -1,9 +1,9 @@
 """Analytic queries over the gold marts (executive KPIs, rankings, trends, shares).
 
-Window functions without PARTITION BY are only applied to day-grain results (bounded by
-the calendar, a few thousand rows per decade), never to customer or item grain. Shares of a
-total use a scalar subquery instead of a whole-table window. Top-k uses
-``orderBy().limit()`` (a distributed take-ordered) with a unique tie-breaker.
+Window functions without PARTITION BY are only applied to results grouped by a bounded
+dimension: calendar days, review scores, statuses, payment types, categories (one row per
+group), never to customer, seller or item grain. Top-k uses ``orderBy().limit()`` (a
+distributed take-ordered) with a unique tie-breaker.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from terrace.functions.exprs import not_canceled, pct, round2, safe_ratio
+from terrace.functions.exprs import round2, safe_ratio, share_of_group_total
 from terrace.plans import marts
 
 Tables = Mapping[str, DataFrame]
@@ -64,9 +64,8 @@ def q02_top10_products(t: Tables, k: int = 10) -> DataFrame:
 # ---------------------------------------------------------------- Q3
 def q03_category_share(t: Tables) -> DataFrame:
     c = marts.gold_category_performance(t)
-    total = c.agg(F.sum("total_revenue")).scalar()
     return (c.select("category_name", "total_products", "total_orders", "total_units_sold", "total_revenue",
-                     "avg_review_score", pct("total_revenue", total).alias("revenue_share_pct"))
+                     "avg_review_score", share_of_group_total("total_revenue").alias("revenue_share_pct"))
             .orderBy(F.col("total_revenue").desc_nulls_first(), "category_name"))
 
 
@@ -117,22 +116,20 @@ def q06_sales_trend(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- Q7
 def q07_delivery_share(t: Tables) -> DataFrame:
     f = marts.gold_order_fulfillment(t).where(F.col("delivery_status").isin("On Time", "Late"))
-    total = f.agg(F.count(F.lit(1))).scalar()
     return (f.groupBy("delivery_status").agg(
         F.count(F.lit(1)).alias("total_orders"),
         round2(F.avg("approval_hours")).alias("avg_approval_hours"),
         round2(F.avg("fulfillment_hours")).alias("avg_fulfillment_hours"),
         round2(F.avg("delivery_vs_estimate_hours")).alias("avg_delay_hours"))
-        .select("delivery_status", "total_orders", pct("total_orders", total).alias("pct_of_total"),
+        .select("delivery_status", "total_orders", share_of_group_total("total_orders").alias("pct_of_total"),
                 "avg_approval_hours", "avg_fulfillment_hours", "avg_delay_hours"))
 
 
 # ---------------------------------------------------------------- Q8
 def q08_payment_usage(t: Tables) -> DataFrame:
     p = marts.gold_payment_analysis(t)
-    total = p.agg(F.sum("total_transactions")).scalar()
     return (p.select("payment_type", "total_transactions", "total_payment_volume", "avg_payment_value",
-                     "avg_installments", pct("total_transactions", total).alias("usage_pct"))
+                     "avg_installments", share_of_group_total("total_transactions").alias("usage_pct"))
             .orderBy(F.col("total_payment_volume").desc_nulls_first()))
 
 
@@ -153,8 +150,11 @@ def q09_sentiment(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- Q10
 def q10_last7d_kpi(t: Tables, days: int = 7) -> DataFrame:
     k = marts.gold_daily_kpi(t)
-    since = k.agg(F.date_sub(F.max("date"), days)).scalar()
-    recent = k.where(F.col("date") >= since)
+    # Day grain (bounded by the calendar): the newest date comes from a window over the daily
+    # rows, so the daily KPI mart is computed once.
+    newest = F.max("date").over(Window.partitionBy())
+    recent = (k.withColumn("_since", F.date_sub(newest, days)).where(F.col("date") >= F.col("_since"))
+              .drop("_since"))
     w = Window.orderBy("date")
     return (recent.select("date", "orders", "unique_customers", "revenue", "items_sold", "revenue_per_order",
                           "avg_daily_score", change_pct("revenue", w).alias("revenue_growth_pct"))

@@ -37,7 +37,7 @@ SELECT seller_id, avg_customer_review FROM gold_seller_performance
 WHERE avg_customer_review < (SELECT AVG(avg_customer_review) FROM gold_seller_performance)""",
           "gold_seller_performance")
 def p_sellers_below_avg(t):
-    s = marts.gold_seller_performance(t)
+    s = marts.gold_seller_performance(t).checkpoint()  # computed once, read twice
     avg = s.agg(F.avg("avg_customer_review")).scalar()
     return s.where(F.col("avg_customer_review") < avg).select("seller_id", "avg_customer_review")
 

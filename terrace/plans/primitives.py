@@ -449,7 +449,9 @@ def agg_scale_then_reduce(t, multiplier: int = 3):
 SELECT seller_id, total_revenue, {R2('100.0 * total_revenue / SUM(total_revenue) OVER ()')} AS revenue_share_pct
 FROM gold_seller_performance""", "gold_seller_performance")
 def win_share_of_total(t):
-    s = marts.gold_seller_performance(t)
+    # Seller grain grows with the data: materialise the mart once (reliable checkpoint), then
+    # the total is a scalar subquery over the stored rows instead of a second mart run.
+    s = marts.gold_seller_performance(t).checkpoint()
     total = s.agg(F.sum("total_revenue")).scalar()
     return s.select("seller_id", "total_revenue", X.pct("total_revenue", total).alias("revenue_share_pct"))
 
@@ -458,10 +460,8 @@ def win_share_of_total(t):
 SELECT order_status, COUNT(*) AS n, {R2('100.0 * CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER ()')} AS pct
 FROM fact_order GROUP BY order_status""", "fact_order")
 def win_share_of_count(t):
-    o = t["fact_order"]
-    total = o.agg(F.count(F.lit(1))).scalar()
-    return o.groupBy("order_status").agg(F.count(F.lit(1)).alias("n")).select(
-        "order_status", "n", X.pct("n", total).alias("pct"))
+    return t["fact_order"].groupBy("order_status").agg(F.count(F.lit(1)).alias("n")).select(
+        "order_status", "n", X.share_of_group_total("n").alias("pct"))
 
 
 @prim("win_dense_rank", """
