@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terrace import oracle as O
 from terrace import schemas
-from terrace.oracle import R2
 from terrace.operators import quality as Q
 from terrace.operators import sinks as K
 from terrace.operators import upsert as U

@@ -67,17 +67,17 @@ def weighted_items(t: Tables) -> DataFrame:
             .withColumn("w", F.greatest(F.coalesce("rv_rows", F.lit(0)), F.lit(1))))
 
 
-def _weighted_measures(prefix_units: bool = True) -> list:
+def _weighted_measures() -> list:
+    """Item measures over the review fan-out, from weighted item rows."""
     w = F.col("w")
     price_rows = F.sum(F.when(F.col("price").isNotNull(), w))
-    out = [
+    return [
         F.sum(F.col("order_item_id") * w).alias("units"),
         F.sum(F.col("price") * w).alias("revenue"),
         F.try_divide(F.sum(F.col("price") * w), price_rows).alias("avg_price"),
         F.sum(F.col("freight_value") * w).alias("freight"),
         F.try_divide(F.sum("rv_sum").cast("double"), F.sum("rv_cnt").cast("double")).alias("avg_review"),
     ]
-    return out
 
 
 # ---------------------------------------------------------------- G1 / G1p

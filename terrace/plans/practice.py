@@ -11,6 +11,7 @@ from terrace.functions.stats import ranked
 from terrace.oracle import R2
 from terrace.plans import analytics, marts, star
 from terrace.plans.silver import SilverTables
+from terrace.session import materialize
 
 Tables = Mapping[str, DataFrame]
 PRACTICE: dict[str, tuple] = {}
@@ -37,7 +38,7 @@ SELECT seller_id, avg_customer_review FROM gold_seller_performance
 WHERE avg_customer_review < (SELECT AVG(avg_customer_review) FROM gold_seller_performance)""",
           "gold_seller_performance")
 def p_sellers_below_avg(t):
-    s = marts.gold_seller_performance(t).checkpoint()  # computed once, read twice
+    s = materialize(marts.gold_seller_performance(t))  # computed once, read twice
     avg = s.agg(F.avg("avg_customer_review")).scalar()
     return s.where(F.col("avg_customer_review") < avg).select("seller_id", "avg_customer_review")
 

@@ -15,6 +15,7 @@ from terrace.functions.stats import exact_median, global_row_number, ranked
 from terrace.oracle import INITCAP, R2
 from terrace.plans import analytics, marts
 from terrace.plans.silver import SilverTables
+from terrace.session import materialize
 
 Tables = Mapping[str, DataFrame]
 PRIMS: dict[str, tuple] = {}
@@ -451,7 +452,7 @@ FROM gold_seller_performance""", "gold_seller_performance")
 def win_share_of_total(t):
     # Seller grain grows with the data: materialise the mart once (reliable checkpoint), then
     # the total is a scalar subquery over the stored rows instead of a second mart run.
-    s = marts.gold_seller_performance(t).checkpoint()
+    s = materialize(marts.gold_seller_performance(t))
     total = s.agg(F.sum("total_revenue")).scalar()
     return s.select("seller_id", "total_revenue", X.pct("total_revenue", total).alias("revenue_share_pct"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, L, I, D, B = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
+S, L, I, D = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
 TS = T.TimestampNTZType()
 
 

@@ -54,6 +54,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def materialize(df):
+    """Reliable (eager) checkpoint in the shared checkpoint folder: the rows are computed once,
+    later uses read them back, and the lineage is cut (executor loss cannot force a rerun of
+    the upstream plan)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
