@@ -43,9 +43,13 @@ def layer_path(base: str, layer: str | None, table: str, default_layer: str = "d
     return f"{base.rstrip('/')}/{layer or default_layer}/{table}"
 
 
-def create_table_as(spark: SparkSession, database: str, table: str, location: str, query_df: DataFrame) -> DataFrame:
-    """``DROP TABLE IF EXISTS db.t; CREATE TABLE db.t USING parquet LOCATION ... AS SELECT``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_table_as(spark: SparkSession, database: str, table: str, location: str, query_df: DataFrame,
+                    database_location: str | None = None) -> DataFrame:
+    """``CREATE DATABASE IF NOT EXISTS db; DROP TABLE IF EXISTS db.t; CREATE TABLE db.t USING
+    parquet LOCATION ... AS SELECT``. Both locations are explicit, so nothing lands in a
+    machine-local warehouse folder."""
+    db_loc = database_location or location.rstrip("/") + f"_{database}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{db_loc}'")
     view = f"_ctas_{table}"
     query_df.createOrReplaceTempView(view)
     spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
