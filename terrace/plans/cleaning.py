@@ -1,4 +1,4 @@
-"""End-to-end pipelines: product JSON cleaning, per-row unit price with quarantine, post
+"""Cleaning jobs: product JSON cleaning, per-row unit price with quarantine, post
 cleaning, and weather shaping. All take DataFrames, so the same code runs on the literal
 fixtures in tests and on distributed tables."""
 

@@ -15,7 +15,7 @@ from terrace import schemas
 from terrace.operators import quality as Q
 from terrace.operators import sinks as K
 from terrace.operators import upsert as U
-from terrace.plans import marts, pipelines as P, star
+from terrace.plans import cleaning as P, marts, star
 from terrace.plans.silver import SILVER_MODELS, SilverTables
 from terrace.registry import register
 from terrace.session import scratch_path
@@ -486,7 +486,7 @@ def run_layers(spark, sf_dir):
     return spark.createDataFrame(report, "layer string, model string, status string, rows bigint")
 
 
-# ====================================================================== pipelines
+# ====================================================================== cleaning jobs (P1-P5)
 @key("products_clean", f"""
 WITH m AS (SELECT MEDIAN(price) AS med FROM landed_products),
 filled AS (SELECT id, title, COALESCE(price, (SELECT med FROM m)) AS price, CAST(COALESCE(stock, 0) AS BIGINT) AS stock,

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from terrace import schemas
-from terrace.plans import pipelines as P
+from terrace.plans import cleaning as P
 from terrace.sources import readers as S
 
 # The five products of the reference's fallback file.
