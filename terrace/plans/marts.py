@@ -21,6 +21,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from terrace.functions.joins import left_join_many
 from terrace.functions.exprs import (
     elapsed_days, hours_between, integer_ratio, not_canceled, not_canceled_keep_null, round2, safe_ratio,
     share_of_group_total,
@@ -243,7 +244,7 @@ def gold_order_fulfillment(t: Tables) -> DataFrame:
         t["dim_customer"].select("customer_id", "customer_city", "customer_state"), "customer_id", "left")
     i = (t["fact_order_item"].select("order_id", "seller_id")
          .join(t["dim_seller"].select("seller_id", "seller_city", "seller_state"), "seller_id", "left"))
-    j = o.join(i, "order_id", "left")
+    j = left_join_many(o, i, ["order_id"])
     dcd, est = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
     return j.select(
         "order_id", "order_status", "order_purchase_timestamp", "order_approved_at",
@@ -280,7 +281,7 @@ def gold_category_performance(t: Tables) -> DataFrame:
 def daily_orders(t: Tables) -> DataFrame:
     o = valid_orders(t).select("order_id", "customer_id", F.to_date("order_purchase_timestamp").alias("order_date"))
     i = t["fact_order_item"].select("order_id", "order_item_id", "product_id", "price", "freight_value")
-    return (o.join(i, "order_id", "left").groupBy("order_date").agg(
+    return (left_join_many(o, i, ["order_id"]).groupBy("order_date").agg(
         F.countDistinct("order_id").alias("orders"),
         F.countDistinct("customer_id").alias("unique_customers"),
         round2(F.sum("price")).alias("revenue"),

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window, functions as F
 
 from terrace.functions import exprs as X
+from terrace.functions.joins import left_join_many
 from terrace.functions.stats import exact_median, global_row_number, ranked
 from terrace.oracle import INITCAP, R2
 from terrace.plans import analytics, marts
@@ -191,8 +192,9 @@ def subquery_cte(t):
 SELECT o.order_id, o.order_status, oi.order_item_id, oi.price
 FROM fact_order o LEFT JOIN fact_order_item oi ON o.order_id = oi.order_id""", "fact_order", "fact_order_item")
 def join_left(t):
-    o, i = t["fact_order"], t["fact_order_item"]
-    return o.join(i, o["order_id"] == i["order_id"], "left").select(o["order_id"], "order_status", "order_item_id", "price")
+    o = t["fact_order"].select("order_id", "order_status")
+    i = t["fact_order_item"].select("order_id", "order_item_id", "price")
+    return left_join_many(o, i, ["order_id"]).select("order_id", "order_status", "order_item_id", "price")
 
 
 @prim("join_left_using", """
@@ -200,8 +202,8 @@ SELECT * FROM (SELECT order_id, order_status FROM fact_order) o
 LEFT JOIN (SELECT order_id, order_item_id, price FROM fact_order_item) oi USING (order_id)""",
       "fact_order", "fact_order_item")
 def join_left_using(t):
-    return (t["fact_order"].select("order_id", "order_status")
-            .join(t["fact_order_item"].select("order_id", "order_item_id", "price"), "order_id", "left"))
+    o = t["fact_order"].select("order_id", "order_status")
+    return left_join_many(o, t["fact_order_item"].select("order_id", "order_item_id", "price"), ["order_id"])
 
 
 @prim("join_left_on_residual", f"""
@@ -238,7 +240,7 @@ LEFT JOIN fact_order_item oi ON o.order_id = oi.order_id
 WHERE o.order_status IS NULL OR o.order_status NOT IN ('canceled', 'unavailable')""", "fact_order", "fact_order_item")
 def join_left_merge(t):
     o = t["fact_order"].where(X.not_canceled_keep_null()).select("order_id", "order_status")
-    return o.join(t["fact_order_item"].select("order_id", "order_item_id"), "order_id", "left")
+    return left_join_many(o, t["fact_order_item"].select("order_id", "order_item_id"), ["order_id"])
 
 
 @prim("join_full_outer", """
