@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from terrace.functions.aggregates import join_on_keys
 from terrace.session import ensure_checkpoint_dir
 
 
@@ -92,22 +93,15 @@ def ranked(df: DataFrame, part_cols: list[str], order: list[Column], tie_cols: l
                .select("_pid", *part_cols, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
     local = Window.partitionBy("_pid", *part_cols).orderBy(*order)
     rn_col = row_number or "_rn"
-    out = (_join_null_safe(ranged, offsets, ["_pid", *part_cols])
+    out = (join_on_keys(ranged, offsets, ["_pid", *part_cols], "left")
            .withColumn(rn_col, F.row_number().over(local) + F.col("_off"))
            .drop("_pid", "_off"))
     if rank:
         firsts = out.groupBy(*part_cols, *tie_cols).agg(F.min(rn_col).alias(rank))
-        out = _join_null_safe(out, firsts, [*part_cols, *tie_cols])
+        out = join_on_keys(out, firsts, [*part_cols, *tie_cols], "left")
     if lead:
         value, name = lead
         nxt = out.select(*part_cols, (F.col(rn_col) - 1).alias(rn_col), F.col(value).alias(name))
-        out = _join_null_safe(out, nxt, [*part_cols, rn_col])
+        out = join_on_keys(out, nxt, [*part_cols, rn_col], "left")
     return out if row_number else out.drop(rn_col)
 
-
-def _join_null_safe(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
-    """Left join on ``cols`` where NULL matches NULL (keys that are part of a row's identity)."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols],
-                     *[c for c in right.columns if c not in cols])
-    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in cols]
-    return left.join(r, cond, "left").drop(*[f"_r_{c}" for c in cols])

@@ -21,6 +21,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from terrace.functions.aggregates import distinct_counts, join_on_keys
 from terrace.functions.joins import left_join_many
 from terrace.functions.exprs import (
     elapsed_days, hours_between, integer_ratio, not_canceled, not_canceled_keep_null, round2, safe_ratio,
@@ -87,15 +88,17 @@ def gold_daily_sales_summary(t: Tables) -> DataFrame:
     o = valid_orders(t).select("order_id", "customer_id", F.to_date("order_purchase_timestamp").alias("order_date"))
     j = o.join(per_order, "order_id", "left")
     rev, fr = F.sum("it_price"), F.sum("it_freight")
-    return (j.groupBy("order_date").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("customer_id").alias("total_customers"),
+    counts = distinct_counts(o, ["order_date"], {"total_orders": "order_id", "total_customers": "customer_id"})
+    sums = (j.groupBy("order_date").agg(
         F.coalesce(F.sum("it_n"), F.lit(0)).alias("total_items_sold"),
         round2(rev).alias("total_revenue"),
         round2(fr).alias("total_freight"),
         round2(rev + fr).alias("total_gross"),
         round2(F.try_divide(rev, F.sum("it_price_n").cast("double"))).alias("avg_item_price"),
         round2(F.try_divide(fr, F.sum("it_freight_n").cast("double"))).alias("avg_freight")))
+    return join_on_keys(counts, sums, ["order_date"]).select(
+        "order_date", "total_orders", "total_customers", "total_items_sold", "total_revenue", "total_freight",
+        "total_gross", "avg_item_price", "avg_freight")
 
 
 def gold_daily_sales_summary_df(t: Tables) -> DataFrame:
@@ -176,9 +179,10 @@ def gold_customer_ltv(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- G4
 def gold_seller_performance(t: Tables) -> DataFrame:
-    per_seller = weighted_items(t).groupBy("seller_id").agg(
-        F.countDistinct("order_id").alias("n_orders"),
-        F.countDistinct("product_id").alias("n_products"), *_weighted_measures())
+    # The distinct counts do not depend on the review weights: take them from the raw items.
+    counts = distinct_counts(t["fact_order_item"], ["seller_id"], {"n_orders": "order_id", "n_products": "product_id"})
+    per_seller = join_on_keys(weighted_items(t).groupBy("seller_id").agg(*_weighted_measures()), counts,
+                              ["seller_id"])
     return (t["dim_seller"].join(per_seller, "seller_id", "left")
             .select("seller_id", "seller_city", "seller_state",
                     F.coalesce("n_orders", F.lit(0)).alias("total_orders_served"),

@@ -13,6 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from terrace.functions.aggregates import distinct_counts, join_on_keys
 from terrace.functions.exprs import boundary_days, round2
 
 Silver = Mapping[str, DataFrame]
@@ -33,22 +34,16 @@ def reviews_per_order(s: Silver) -> DataFrame:
 
 
 def items_per_order(s: Silver) -> DataFrame:
-    """Item aggregates per order. Each distinct count is its own two-phase aggregation over
-    (order, value) pairs, joined back at order grain: the three narrow scans run as parallel
-    stages instead of one scan expanding every row four times, and a hot order is still
-    spread over many tasks by the pair-level dedup."""
+    """Item aggregates per order; the three distinct counts come from ``distinct_counts``
+    (narrow parallel scans instead of one scan expanding every row four times)."""
     items = s["silver_fact_order_items"]
     sums = items.groupBy("order_id").agg(
         F.sum("price").alias("total_price"),
         F.sum("freight_value").alias("total_freight"),
         F.sum(F.col("price") + F.col("freight_value")).alias("total_order_value"))
-
-    def distinct_count(c: str, name: str) -> DataFrame:
-        return items.select("order_id", c).distinct().groupBy("order_id").agg(F.count(c).alias(name))
-
-    return (sums.join(distinct_count("order_item_id", "item_count"), "order_id")
-            .join(distinct_count("product_id", "unique_products"), "order_id")
-            .join(distinct_count("seller_id", "unique_sellers"), "order_id"))
+    counts = distinct_counts(items, ["order_id"], {"item_count": "order_item_id", "unique_products": "product_id",
+                                                   "unique_sellers": "seller_id"})
+    return join_on_keys(sums, counts, ["order_id"])
 
 
 # ---------------------------------------------------------------- D1
@@ -61,14 +56,16 @@ def gold_dim_customers(s: Silver) -> DataFrame:
                .select("order_id", "customer_id", "is_delivered", "is_canceled", "order_purchase_timestamp",
                        F.coalesce("total_payment", F.lit(0.0)).alias("total_payment"),
                        F.coalesce("avg_review_score", F.lit(0.0)).alias("avg_review_score")))
-    per_customer = details.groupBy("customer_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct(F.when(F.col("is_delivered"), F.col("order_id"))).alias("delivered_orders"),
-        F.countDistinct(F.when(F.col("is_canceled"), F.col("order_id"))).alias("canceled_orders"),
+    counts = distinct_counts(s["silver_fact_orders"], ["customer_id"], {
+        "total_orders": "order_id",
+        "delivered_orders": F.when(F.col("is_delivered"), F.col("order_id")),
+        "canceled_orders": F.when(F.col("is_canceled"), F.col("order_id"))})
+    sums = details.groupBy("customer_id").agg(
         F.sum("total_payment").alias("total_revenue"),
         F.avg("avg_review_score").alias("avg_review_score"),
         F.min("order_purchase_timestamp").alias("first_order_date"),
         F.max("order_purchase_timestamp").alias("last_order_date"))
+    per_customer = join_on_keys(counts, sums, ["customer_id"])
     c = s["silver_dim_customers"].join(per_customer, "customer_id", "left")
     total = F.coalesce("total_orders", F.lit(0))
     first, last = F.col("first_order_date"), F.col("last_order_date")
@@ -87,11 +84,10 @@ def gold_dim_customers(s: Silver) -> DataFrame:
 
 # ---------------------------------------------------------------- D2
 def gold_dim_products(s: Silver) -> DataFrame:
-    per_product = s["silver_fact_order_items"].groupBy("product_id").agg(
-        F.countDistinct("order_id").alias("n_orders"),
-        F.sum("price").alias("revenue"),
-        F.sum("freight_value").alias("freight"),
-        F.countDistinct("seller_id").alias("n_sellers"))
+    items = s["silver_fact_order_items"]
+    per_product = join_on_keys(
+        items.groupBy("product_id").agg(F.sum("price").alias("revenue"), F.sum("freight_value").alias("freight")),
+        distinct_counts(items, ["product_id"], {"n_orders": "order_id", "n_sellers": "seller_id"}), ["product_id"])
     return (s["silver_dim_products"].join(per_product, "product_id", "left")
             .select("product_id", "product_category_name", "product_category_english", "product_weight_g",
                     "product_length_cm", "product_height_cm", "product_width_cm",
@@ -107,11 +103,9 @@ def gold_dim_sellers(s: Silver) -> DataFrame:
     ``order_id``, so each review counts once per item the seller has in that order. Items are
     reduced to (order, seller) counts and reviews to order sums before that join."""
     items = s["silver_fact_order_items"]
-    per_seller = items.groupBy("seller_id").agg(
-        F.countDistinct("order_id").alias("n_orders"),
-        F.sum("price").alias("revenue"),
-        F.sum("freight_value").alias("freight"),
-        F.countDistinct("product_id").alias("n_products"))
+    per_seller = join_on_keys(
+        items.groupBy("seller_id").agg(F.sum("price").alias("revenue"), F.sum("freight_value").alias("freight")),
+        distinct_counts(items, ["seller_id"], {"n_orders": "order_id", "n_products": "product_id"}), ["seller_id"])
     seller_orders = items.groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("n_items"))
     rv = s["silver_fact_reviews"].groupBy("order_id").agg(
         F.sum("review_score").alias("rv_sum"), F.count("review_score").alias("rv_cnt"),
