@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from terrace.functions.aggregates import join_on_keys
-from terrace.session import ensure_checkpoint_dir
+from terrace.session import ensure_checkpoint_dir, materialize
 
 
 def exact_median(df: DataFrame, c: str | Column, buckets: int = 256) -> DataFrame:
@@ -21,7 +21,8 @@ def exact_median(df: DataFrame, c: str | Column, buckets: int = 256) -> DataFram
     first (value, multiplicity), so a value repeated a billion times costs one row.
     """
     x = F.col(c) if isinstance(c, str) else c
-    vals = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
+    # (value, multiplicity) pairs are read by four passes below: materialise them once.
+    vals = materialize(df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
     n = vals.agg(F.sum("cnt")).scalar()
     probs = [i / buckets for i in range(1, buckets)]
     bounds = vals.agg(F.percentile_approx("v", probs, 10000)).scalar()
