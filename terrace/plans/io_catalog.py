@@ -7,6 +7,7 @@ the oracle can check the values that went through the round trip.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -460,6 +461,24 @@ def dml_delete(spark, sf_dir):
 LAYER_MODELS = ("gold_dim_customers", "gold_dim_products", "gold_dim_sellers", "gold_fct_orders")
 
 
+class LayerReader(Mapping):
+    """Read-only mapping ``model name -> stored DataFrame`` of one layer."""
+
+    def __init__(self, read, layer: str, names):
+        self.read, self.layer, self.names = read, layer, tuple(names)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.names:
+            raise KeyError(name)
+        return self.read(self.layer, name)
+
+    def __iter__(self):
+        return iter(self.names)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+
 @key("run_layers", "\nUNION ALL ".join(
     [f"SELECT 'silver' AS layer, '{m}' AS model, 'ok' AS status, COUNT(*) AS rows FROM {m}" for m in SILVER_MODELS]
     + [f"SELECT 'gold' AS layer, '{m}' AS model, 'ok' AS status, COUNT(*) AS rows FROM {m}" for m in LAYER_MODELS]),
@@ -474,14 +493,10 @@ def run_layers(spark, sf_dir):
     def read(layer, name):
         return spark.read.parquet(K.layer_path(base, layer, name))
 
-    stored = {n: (lambda n=n: read("silver", n)) for n in SILVER_MODELS}
-
-    class Stored(dict):
-        def __getitem__(self, n):
-            return stored[n]()
-
+    # Gold models read the *stored* silver tables, as a layered run does.
+    stored_silver = LayerReader(read, "silver", SILVER_MODELS)
     silver_models = {n: (lambda n=n: SILVER_MODELS[n](raw)) for n in SILVER_MODELS}
-    gold_models = {n: (lambda n=n: getattr(star, n)(Stored())) for n in LAYER_MODELS}
+    gold_models = {n: (lambda n=n: star.STAR_MODELS[n](stored_silver)) for n in LAYER_MODELS}
     report = U.run_layers([("silver", silver_models), ("gold", gold_models)], write, read)
     return spark.createDataFrame(report, "layer string, model string, status string, rows bigint")
 
