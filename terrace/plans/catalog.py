@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from terrace import oracle as O
-from terrace.plans import marts, silver
+from terrace.plans import analytics, marts, practice, primitives, silver, star
+from terrace.plans.silver import SilverTables
 from terrace.registry import model
 
-# Silver layer (M1-M7) and gold marts (G1-G9 with the DataFrame variants).
-for _key, _fn in {**silver.SILVER_MODELS, **marts.GOLD_MARTS}.items():
-    model(_key, _fn)
-    O.register(_key, O.table(_key))
-
-# Star schema (D1-D6) over the silver layer.
-from pyspark.sql import functions as F  # noqa: E402
-
-from terrace.plans import analytics, star  # noqa: E402
-from terrace.plans.silver import SilverTables  # noqa: E402
-
 
 def _star(fn):
     def run(t):
@@ -28,33 +20,29 @@ def _star(fn):
     return run
 
 
+# Silver layer (M1-M7) and gold marts (G1-G9 with the DataFrame variants).
+for _key, _fn in {**silver.SILVER_MODELS, **marts.GOLD_MARTS}.items():
+    model(_key, _fn)
+    O.register(_key, O.table(_key))
+
+# Star schema (D1-D6) over the silver layer.
 for _key, _fn in star.STAR_MODELS.items():
     model(_key, _star(_fn))
+    O.register(_key, O.table(_key))
 O.register("gold_fct_orders", O.build(
     "SELECT * REPLACE (array_to_string(payment_types, ',') AS payment_types) FROM gold_fct_orders",
     "gold_fct_orders"))
-for _key in ("gold_dim_customers", "gold_dim_products", "gold_dim_sellers", "int_order_details",
-             "int_customer_orders"):
-    O.register(_key, O.table(_key))
 
 # Analytic queries (Q1-Q10) over the gold marts.
 for _key, _fn in analytics.ANALYTIC_QUERIES.items():
     model(_key, _fn)
     O.register(_key, O.build(O.AQ[_key][0], *O.AQ[_key][1]))
 
-# Primitive operators (C, J, A, W, O, F rows).
-from terrace.plans import primitives  # noqa: E402
-
-for _key, (_fn, _sql, _deps) in primitives.PRIMS.items():
-    model(_key, _fn)
-    O.register(_key, O.build(_sql, *_deps))
-
-# Practice queries from the guides.
-from terrace.plans import practice  # noqa: E402
-
-for _key, (_fn, _sql, _deps) in practice.PRACTICE.items():
+# Primitive operators (C, J, A, W, O, F rows) and the practice queries of the guides.
+for _key, (_fn, _sql, _deps) in {**primitives.PRIMS, **practice.PRACTICE}.items():
     model(_key, _fn)
     O.register(_key, O.build(_sql, *_deps))
 
-# Sources, sinks, quality tests, table edits, pipelines and the stream.
+# Sources, sinks, quality tests, table edits, cleaning jobs and the stream register
+# themselves on import.
 from terrace.plans import io_catalog  # noqa: E402,F401
