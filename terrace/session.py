@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale; all are plain public Spark options.
@@ -74,11 +75,21 @@ def local_path(path: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem API (works for any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    """Existence check for a file or folder on any file system Spark can read. Resolving a
+    file-source relation lists the path on the driver and fails for a missing path; no job
+    runs and no file content is read."""
+    try:
+        spark.read.format("binaryFile").load(path).select("path")
+        return True
+    except AnalysisException:
+        return False
+
+
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob (small listings only, e.g. version markers)."""
+    if not path_exists(spark, pattern):
+        return []
+    return [r.path for r in spark.read.format("binaryFile").load(pattern).select("path").collect()]
 
 
 def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:

@@ -19,6 +19,7 @@ from terrace.functions.exprs import year_month
 from terrace.operators.sinks import write_parquet
 from terrace.operators.upsert import upsert_delete_insert
 from terrace.plans import silver, star
+from terrace.session import list_files
 
 
 def land_orders_by_month(orders: DataFrame, folder: str) -> str:
@@ -47,6 +48,7 @@ def stream_incremental_orders(spark: SparkSession, raw: Mapping[str, DataFrame],
         base = latest_version(spark, target, below=batch_id)
         merged = fact if base is None else upsert_delete_insert(spark.read.parquet(base), fact, ["order_id"])
         write_parquet(merged, new_path)
+        mark_committed(spark, target, batch_id)
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -54,21 +56,19 @@ def stream_incremental_orders(spark: SparkSession, raw: Mapping[str, DataFrame],
     return latest_version(spark, target)
 
 
+def mark_committed(spark: SparkSession, target: str, version: int) -> None:
+    """Record that version ``version`` is complete (written only after its data write
+    succeeded); readers only ever pick marked versions."""
+    spark.range(1).selectExpr(f"'{version}' AS v").write.mode("overwrite").text(
+        f"{target.rstrip('/')}/committed/v{version:06d}")
+
+
 def latest_version(spark: SparkSession, target: str, below: int | None = None) -> str | None:
-    """Folder of the newest committed version ``v<batch>`` (one with a _SUCCESS marker)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(target)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    best = None
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if not (st.isDirectory() and name.startswith("v") and name[1:].isdigit()):
-            continue
-        v = int(name[1:])
-        if below is not None and v >= below:
-            continue
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")) and (best is None or v > best[0]):
-            best = (v, st.getPath().toString())
-    return best[1] if best else None
+    """Folder of the newest committed version ``v<batch>`` (optionally older than ``below``)."""
+    versions = set()
+    for f in list_files(spark, f"{target.rstrip('/')}/committed/v*"):
+        name = f.rsplit("/", 2)[-2]
+        if name[1:].isdigit():
+            versions.add(int(name[1:]))
+    ok = [v for v in versions if below is None or v < below]
+    return f"{target.rstrip('/')}/v{max(ok):06d}" if ok else None
