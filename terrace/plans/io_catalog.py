@@ -23,7 +23,7 @@ from terrace.session import scratch_path
 from terrace.sources import landing as L
 from terrace.sources import readers as S
 from terrace.sources.fixtures import Tables, read_base
-from terrace.streaming.incremental import land_orders_by_month
+from terrace.streaming.incremental import current_fact, land_orders_by_month
 from terrace.streaming.incremental import stream_incremental_orders as run_order_stream
 
 
@@ -615,6 +615,6 @@ def forecast_hourly(spark, sf_dir):
 def stream_incremental_orders(spark, sf_dir):
     raw = Tables(spark, sf_dir)
     landed = land_orders_by_month(raw["fact_order"], scratch_path(spark, "orders-drop"))
-    path = run_order_stream(spark, {n: raw[n] for n in raw}, landed, scratch_path(spark, "fct-stream"),
-                            scratch_path(spark, "fct-stream-ckpt"))
-    return spark.read.parquet(path)
+    target = run_order_stream(spark, {n: raw[n] for n in raw}, landed, scratch_path(spark, "fct-stream"),
+                              scratch_path(spark, "fct-stream-ckpt"))
+    return current_fact(spark, target).withColumn("payment_types", F.array_join("payment_types", ","))

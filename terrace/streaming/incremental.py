@@ -3,23 +3,32 @@
 The periodic re-run of the order fact becomes a stream over landed order files: a declared
 schema, ``trigger(availableNow=True)`` (process what has landed, then stop) and
 ``foreachBatch`` that rebuilds the fact rows of the orders in each micro-batch and upserts
-them (delete + insert on ``order_id``) into the stored fact. Replays are idempotent: the
-same batch applied twice leaves the same table. Progress lives in the checkpoint folder, so
-a restarted query resumes after the last committed batch.
+them (delete + insert on ``order_id``) into the stored fact.
+
+Storage: the fact is kept per purchase month. A micro-batch rewrites only the months its
+orders fall in — it reads the current version of those months, replaces the batch's orders,
+and writes them in one partitioned job to ``data/v<batch>/ym=<month>``. After the data is
+written, a small marker ``committed/v<batch>`` lists ``(batch, month)``; the current fact is
+the newest committed version of every month. So the work per batch is bounded by the months
+it touches (not by the whole table), a crashed or replayed batch never exposes partial data
+(it is not marked), and a restarted query resumes from its checkpoint and the markers.
+An order's month comes from its purchase timestamp, which does not change for an order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from terrace import schemas
 from terrace.functions.exprs import year_month
-from terrace.operators.sinks import write_parquet
 from terrace.operators.upsert import upsert_delete_insert
 from terrace.plans import silver, star
-from terrace.session import list_files
+from terrace.session import path_exists
+
+MARKER_SCHEMA = "batch int, ym string"
 
 
 def land_orders_by_month(orders: DataFrame, folder: str) -> str:
@@ -29,46 +38,51 @@ def land_orders_by_month(orders: DataFrame, folder: str) -> str:
     return folder
 
 
+def current_versions(spark: SparkSession, target: str, below: int | None = None) -> dict[str, str]:
+    """``month -> folder`` of the newest committed version of every stored month (versions
+    written by batches older than ``below`` only, when given). One row per month reaches
+    the driver (bounded by the calendar)."""
+    root = target.rstrip("/")
+    if not path_exists(spark, f"{root}/committed"):
+        return {}
+    markers = spark.read.schema(MARKER_SCHEMA).csv(f"{root}/committed/*")
+    if below is not None:
+        markers = markers.where(F.col("batch") < below)
+    latest = markers.groupBy("ym").agg(F.max("batch").alias("batch")).collect()
+    return {r.ym: f"{root}/data/v{r.batch:06d}/ym={r.ym}" for r in latest}
+
+
+def current_fact(spark: SparkSession, target: str) -> DataFrame | None:
+    """The stored order fact: the newest committed version of each month."""
+    paths = current_versions(spark, target)
+    return spark.read.parquet(*paths.values()) if paths else None
+
+
 def stream_incremental_orders(spark: SparkSession, raw: Mapping[str, DataFrame], landed: str, target: str,
                               checkpoint: str, files_per_trigger: int = 8) -> str:
-    """Run the stream to completion and return the folder of the current fact version."""
+    """Run the stream to completion; returns ``target`` (read it with ``current_fact``)."""
     schema = T.StructType(schemas.RAW_SCHEMAS["fact_order"].fields + [T.StructField("ym", T.StringType())])
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(landed))
+    root = target.rstrip("/")
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # Rebuild fact rows for the batch's orders from the silver layer over the raw tables,
-        # with the batch's rows as the order source.
+        # Fact rows for the batch's orders, from the silver layer with the batch as order source.
         scoped = dict(raw)
         scoped["fact_order"] = batch.drop("ym")
-        fact = star.gold_fct_orders(silver.SilverTables(scoped))
-        fact = fact.withColumn("payment_types", F.array_join("payment_types", ","))
-        new_path = f"{target}/v{batch_id:06d}"
-        # The base is the newest *committed* version older than this batch, found on storage,
-        # so a restarted query (or a replayed batch) continues from what is really there.
-        base = latest_version(spark, target, below=batch_id)
-        merged = fact if base is None else upsert_delete_insert(spark.read.parquet(base), fact, ["order_id"])
-        write_parquet(merged, new_path)
-        mark_committed(spark, target, batch_id)
+        fact = star.gold_fct_orders(silver.SilverTables(scoped)).withColumn(
+            "ym", year_month("order_purchase_timestamp"))
+        months = [r.ym for r in fact.select("ym").distinct().collect()]  # bounded by the calendar
+        if not months:
+            return
+        stored = current_versions(spark, root, below=batch_id)
+        bases = [spark.read.parquet(stored[m]).withColumn("ym", F.lit(m)) for m in months if m in stored]
+        merged = fact if not bases else upsert_delete_insert(reduce(DataFrame.unionByName, bases), fact, ["order_id"])
+        merged.write.mode("overwrite").partitionBy("ym").parquet(f"{root}/data/v{batch_id:06d}")
+        (spark.createDataFrame([(batch_id, m) for m in months], MARKER_SCHEMA).coalesce(1)
+         .write.mode("overwrite").csv(f"{root}/committed/v{batch_id:06d}"))
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return latest_version(spark, target)
-
-
-def mark_committed(spark: SparkSession, target: str, version: int) -> None:
-    """Record that version ``version`` is complete (written only after its data write
-    succeeded); readers only ever pick marked versions."""
-    spark.range(1).selectExpr(f"'{version}' AS v").write.mode("overwrite").text(
-        f"{target.rstrip('/')}/committed/v{version:06d}")
-
-
-def latest_version(spark: SparkSession, target: str, below: int | None = None) -> str | None:
-    """Folder of the newest committed version ``v<batch>`` (optionally older than ``below``)."""
-    versions = set()
-    for f in list_files(spark, f"{target.rstrip('/')}/committed/v*"):
-        name = f.rsplit("/", 2)[-2]
-        if name[1:].isdigit():
-            versions.add(int(name[1:]))
-    ok = [v for v in versions if below is None or v < below]
-    return f"{target.rstrip('/')}/v{max(ok):06d}" if ok else None
+    return root
