@@ -87,8 +87,8 @@ def revenue_tier(c: str = "total_revenue") -> F.Column:
 
 
 def q05_customer_tiers(t: Tables) -> DataFrame:
-    """Customer segments by lifetime revenue. The reference also numbers customers by
-    revenue, but never reads that number, so the plan does not compute it."""
+    """Customer segments by lifetime revenue. The source query also numbers customers by
+    revenue but never reads that number, so the plan does not compute it."""
     ltv = marts.gold_customer_ltv(t).where(F.col("total_orders") > 0)
     return (ltv.groupBy(revenue_tier().alias("customer_tier")).agg(
         F.count(F.lit(1)).alias("total_customers"),

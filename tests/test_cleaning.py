@@ -1,4 +1,4 @@
-"""Golden tests from the reference's known outputs, on its literal inputs."""
+"""Golden tests: the documented outputs of the course pipelines on their literal inputs."""
 
 import datetime as dt
 import json
@@ -10,7 +10,7 @@ from terrace import schemas
 from terrace.plans import cleaning as P
 from terrace.sources import readers as S
 
-# The five products of the reference's fallback file.
+# The five products of the product API's fallback file.
 PRODUCTS = [
     (1, "Essence Mascara Lash Princess", 9.99, 5, "beauty", 4.94),
     (2, "Eyeshadow Palette with Mirror", 19.99, None, "beauty", 3.5),
