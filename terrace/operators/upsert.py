@@ -8,6 +8,7 @@ distributed anti join + union (or a per-key ``max_by`` aggregate), never a drive
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -63,19 +64,27 @@ def dml_delete(table: DataFrame, predicate: Column) -> DataFrame:
     return table.where(~F.coalesce(predicate, F.lit(False)))
 
 
-def run_layers(layers: Sequence[tuple[str, Mapping[str, callable]]], write, read) -> list[tuple]:
-    """Run the models of each layer in order (silver, then gold); stop at the first failure.
+def run_layers(layers: Sequence[tuple[str, Mapping[str, callable]]], write, read, threads: int = 4) -> list[tuple]:
+    """Run the layers in order (silver, then gold); the models of one layer are independent
+    and run as concurrent Spark jobs from a small thread pool. A failure stops the run before
+    the next layer.
 
     ``write(layer, name, df) -> path`` stores a model, ``read(layer, name)`` gives it back to
-    later layers. Returns ``(layer, model, status, rows)`` tuples.
+    later layers. Returns ``(layer, model, status, rows)`` tuples in the given model order.
     """
-    report = []
-    for layer, models in layers:
-        for name, build in models.items():
-            try:
-                path = write(layer, name, build())
-                report.append((layer, name, "ok", read(layer, name).count() if path else None))
-            except Exception as e:  # noqa: BLE001 - stop on failure, report what ran
-                report.append((layer, name, f"error: {type(e).__name__}", None))
-                return report
+    def run_one(layer: str, name: str, build) -> tuple:
+        try:
+            write(layer, name, build())
+            return (layer, name, "ok", read(layer, name).count())
+        except Exception as e:  # noqa: BLE001 - reported; the next layer does not start
+            return (layer, name, f"error: {type(e).__name__}", None)
+
+    report: list[tuple] = []
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        for layer, models in layers:
+            futures = [pool.submit(run_one, layer, name, build) for name, build in models.items()]
+            results = [f.result() for f in futures]
+            report.extend(results)
+            if any(r[2] != "ok" for r in results):
+                break
     return report
