@@ -26,6 +26,36 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, shuffle_bytes_tb: float = 20.0) -> dict[str, str]:
+    """Settings for a large cluster (e.g. 1000 executors over ~100 TB of input).
+
+    * Shuffle partitions are sized for ~256 MB per partition of the largest expected shuffle
+      (``shuffle_bytes_tb``) and never below 3x the cores; AQE coalesces the small ones and
+      splits skewed ones, so over-provisioning is cheap while under-provisioning spills.
+    * Scan splits of 256 MB match typical Parquet row groups.
+    * Broadcasts stay behind a measured size (AQE converts at run time under 64 MB).
+    * Runtime bloom filters prune the fact side of star joins before the shuffle.
+    * Decommissioning migrates shuffle and cached blocks off a leaving executor, so losing
+      executors costs re-fetches rather than recomputed stages.
+    """
+    parts = max(3 * total_cores, int(shuffle_bytes_tb * 1024 * 1024 / 256))
+    return {
+        **DEFAULT_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.storage.decommission.rddBlocks.enabled": "true",
+    }
+
+
 def build_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
                   app: str = "terrace") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)

@@ -108,3 +108,11 @@ def test_time_helpers_ignore_session_time_zone(spark):
         assert str(r.m) == "1999-10-01 00:00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_cluster_conf_sizes_shuffle_for_the_data():
+    from terrace.session import cluster_conf
+    conf = cluster_conf(total_cores=8000, shuffle_bytes_tb=20)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 81920
+    assert conf["spark.sql.adaptive.enabled"] == "true" and conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(total_cores=100000, shuffle_bytes_tb=1)["spark.sql.shuffle.partitions"]) == 300000
