@@ -7,7 +7,6 @@ local mode (tests, the local benchmark) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -114,13 +113,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     except AnalysisException:
         return False
 
-
-def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a glob (small listings only, e.g. version markers)."""
-    if not path_exists(spark, pattern):
-        return []
-    return [r.path for r in spark.read.format("binaryFile").load(pattern).select("path").collect()]
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", default)
