@@ -616,5 +616,5 @@ def stream_incremental_orders(spark, sf_dir):
     raw = Tables(spark, sf_dir)
     landed = land_orders_by_month(raw["fact_order"], scratch_path(spark, "orders-drop"))
     target = run_order_stream(spark, {n: raw[n] for n in raw}, landed, scratch_path(spark, "fct-stream"),
-                              scratch_path(spark, "fct-stream-ckpt"))
+                              scratch_path(spark, "fct-stream-ckpt"), files_per_trigger=32)
     return current_fact(spark, target).withColumn("payment_types", F.array_join("payment_types", ","))
