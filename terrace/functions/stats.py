@@ -23,12 +23,14 @@ def exact_median(df: DataFrame, c: str | Column, buckets: int = 256) -> DataFram
     x = F.col(c) if isinstance(c, str) else c
     # (value, multiplicity) pairs are read by four passes below: materialise them once.
     vals = materialize(df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
-    n = vals.agg(F.sum("cnt")).scalar()
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = vals.agg(F.percentile_approx("v", probs, 10000)).scalar()
-    # The bound array is projected as a column first (subqueries may not sit inside a lambda).
-    b = (vals.withColumn("_bounds", bounds)
-         .withColumn("bucket", F.size(F.filter("_bounds", lambda e: e < F.col("v")))).drop("_bounds"))
+    # One bounded row: the value count and the bucket bounds (a mergeable sketch per task).
+    stats = vals.agg(F.sum("cnt").alias("n"), F.percentile_approx("v", probs, 10000).alias("bounds")).first()
+    if not stats or stats["n"] is None:
+        return vals.sparkSession.range(1).select(F.lit(None).cast("double").alias("median"))
+    n = F.lit(stats["n"])
+    bounds = F.array(*[F.lit(x) for x in stats["bounds"]])
+    b = vals.withColumn("bucket", F.size(F.filter(bounds, lambda e: e < F.col("v"))))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = (b.groupBy("bucket").agg(F.sum("cnt").alias("bcnt"))
                   .withColumn("start", F.coalesce(F.sum("bcnt").over(before), F.lit(0))))
