@@ -57,8 +57,9 @@ def src_with_fallback(spark, sf_dir):
 
 
 def _catalog_counts_sql(status: bool) -> str:
-    parts = [f"SELECT '{t}' AS table_name, '{c}' AS category, {chr(39) + 'ok' + chr(39) + ' AS status, ' if status else ''}"
-             f"COUNT(*) AS rows FROM {t}" for _l, _f, t, c in schemas.CSV_CATALOG]
+    status_col = "'ok' AS status, " if status else ""
+    parts = [f"SELECT '{t}' AS table_name, '{c}' AS category, {status_col}COUNT(*) AS rows FROM {t}"
+             for _l, _f, t, c in schemas.CSV_CATALOG]
     return "\nUNION ALL ".join(parts)
 
 
