@@ -98,11 +98,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/terrace/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for driver-side existence checks."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check for a file or folder on any file system Spark can read. Resolving a
     file-source relation lists the path on the driver and fails for a missing path; no job
