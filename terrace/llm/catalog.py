@@ -10,7 +10,6 @@ from terrace.llm import common as C
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def queries() -> dict[str, Query]:
@@ -20,7 +19,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    from terrace.llm import oracle
+
+    return {"op9_quality_rules": oracle.op9()}
 
 
 def query(fn: Query) -> Query:
@@ -58,3 +59,26 @@ def op8_best_fit_packing(spark, sf_dir):
 
     packed = P.pack_documents(C.documents(spark, sf_dir), P.default_tokenizer(), keep_ids=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op9_quality_rules(spark, sf_dir):
+    """Measurements, rule ledger and verdict of policy v2 for every document."""
+    from terrace.llm import quality_rules as R
+
+    rows = R.ledger(C.documents(spark, sf_dir))
+    base_failed = F.col("failed").bitwiseAND(F.lit(R.mask_of(R.BASE)).cast("long")) != 0
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       base_failed.alias("base_failed"), (~base_failed & R.verdict("v2")).alias("kept"), "failed")
+
+
+@query
+def op10_secret_scan(spark, sf_dir):
+    """Secrets in every document."""
+    from terrace.llm import secrets as S
+
+    found = S.find_secrets(C.documents(spark, sf_dir))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(S.KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2(S.span_text(F.col("base")), 256).alias("base_sha256"),
+                        S.span_text(F.col("found")).alias("spans"))
