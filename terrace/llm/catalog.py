@@ -82,3 +82,15 @@ def op10_secret_scan(spark, sf_dir):
               for k, name in enumerate(S.KINDS[:3])]
     return found.select("doc_id", *counts, F.sha2(S.span_text(F.col("base")), 256).alias("base_sha256"),
                         S.span_text(F.col("found")).alias("spans"))
+
+
+@query
+def op6_pii_boosting(spark, sf_dir):
+    """Personal data in every document."""
+    from terrace.llm import pii as P
+
+    found = P.find_pii(C.documents(spark, sf_dir))
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = {k})) AS BIGINT) AS n_{name}")
+              for k, name in enumerate(P.KINDS[:4])]
+    return found.select("doc_id", *counts, F.sha2(P.span_text("base"), 256).alias("base_sha256"),
+                        P.span_text("found").alias("spans"))
