@@ -94,3 +94,11 @@ def op6_pii_boosting(spark, sf_dir):
               for k, name in enumerate(P.KINDS[:4])]
     return found.select("doc_id", *counts, F.sha2(P.span_text("base"), 256).alias("base_sha256"),
                         P.span_text("found").alias("spans"))
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    """Every document with its repeated lines cut out."""
+    from terrace.llm import line_dedup as D
+
+    return D.dedup_lines(C.documents(spark, sf_dir).select("doc_id", "text"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -62,3 +64,30 @@ def text_blocks(batches: Iterator[pa.RecordBatch], max_chars: int) -> Iterator[t
             chars += len(text)
     if texts:
         yield [list(c) for c in zip(*rows)], texts
+
+
+class WordCodes:
+    """Integer codes of the words of texts. Words are runs of letters and digits, lower-cased;
+    what ``code`` gives for a word is kept in a dictionary of bounded size, by the run between
+    white space that it came from."""
+
+    WORD = re.compile(r"[^\W_]+")
+
+    def __init__(self, code: Callable[[str], int], size: int = 500_000):
+        self.code, self.size = code, size
+        self.known: dict[str, bytes] = {}
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        runs = [t.lower().split() for t in texts]
+        seen = set().union(*runs)
+        if len(self.known) > self.size:
+            self.known.clear()
+        for run in seen.difference(self.known):
+            self.known[run] = np.array([self.code(w) for w in self.WORD.findall(run)], dtype=np.int64).tobytes()
+        get = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(get, r)), dtype=np.int64) for r in runs]
+
+
+def text_size(docs: DataFrame) -> int:
+    """Characters of all texts."""
+    return docs.agg(F.sum(F.length("text"))).first()[0] or 0
