@@ -102,3 +102,11 @@ def op4_line_dedup(spark, sf_dir):
     from terrace.llm import line_dedup as D
 
     return D.dedup_lines(C.documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query
+def op2_minhash_near_dedup(spark, sf_dir):
+    """Class and group of near duplicates of every document."""
+    from terrace.llm import minhash as M
+
+    return M.near_duplicates(C.documents(spark, sf_dir))
