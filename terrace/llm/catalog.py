@@ -110,3 +110,11 @@ def op2_minhash_near_dedup(spark, sf_dir):
     from terrace.llm import minhash as M
 
     return M.near_duplicates(C.documents(spark, sf_dir))
+
+
+@query
+def op1_brown_scores(spark, sf_dir):
+    """Log probability of every document under the class model and the unigram base."""
+    from terrace.llm import brown as B
+
+    return B.score_texts(C.documents(spark, sf_dir), C.id_remainder(F.col("doc_id"), 10) == 0)
