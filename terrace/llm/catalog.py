@@ -118,3 +118,11 @@ def op1_brown_scores(spark, sf_dir):
     from terrace.llm import brown as B
 
     return B.score_texts(C.documents(spark, sf_dir), C.id_remainder(F.col("doc_id"), 10) == 0)
+
+
+@query
+def op7_benchmark_leaks(spark, sf_dir):
+    """Every pair of a document and a benchmark item that it leaks."""
+    from terrace.llm import decontaminate as D
+
+    return D.contaminated(C.documents(spark, sf_dir), C.read_table(spark, sf_dir, "benchmark"))
