@@ -9,10 +9,11 @@ packed, to the buckets; what occurs in several documents comes back to these.
 Texts with equal word sequences are one class, represented by its least id. Two classes can
 only be similar if the shingles that a text shares with any other text carry at least
 ``threshold`` of its weight, so only such texts are sampled: ``samples`` consistent weighted
-samples, in bands of ``rows``. In each bucket of equal bands the members are verified against
-their least member, then, where that did not put them into one component, against all members
-of other components: no link between components is lost, and copies and near copies in large
-groups do not make all pairs. A pair is a link if its exact weighted Jaccard similarity is at
+samples, in bands of ``rows``. Of the members of a bucket of equal bands the most central one is
+the hub. Documents are verified against the best hub of their buckets; then, in buckets that this
+did not make one component, against the bucket's hub, and at last against all members of
+other components: no link between components is lost, and copies and near copies in large groups
+do not make all pairs. A pair is a link if its exact weighted Jaccard similarity is at
 least ``threshold``.
 
 Edge cases: texts without words (also null) are groups of their own; rows without id as well;
@@ -235,19 +236,34 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, s
     reps = stored(every.where("bands IS NOT NULL").join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
                   .dropDuplicates(["doc_id"]), "near-reps")
     bands = reps.select("doc_id", F.explode("bands").alias("band"))
-    buckets_of = bands.groupBy("band").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub != last").drop("last")
-    members = stored(join_measured(bands, stored(buckets_of, "near-buckets"), "band"), "near-members")
-    first = members.where("doc_id != hub").groupBy(F.col("doc_id").alias("a")).agg(F.min("hub").alias("b"))
-    links = stored(verified(first, reps, threshold), "near-links")
-    comp = stored(components(links), "near-components").withColumnRenamed("id", "doc_id")
-    placed = members.select("doc_id", "band").join(comp, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    mixed_bands = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("band")
-    open_members = stored(placed.join(mixed_bands, "band", "left_semi"), "near-open")
-    x = open_members.select("band", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-    y = open_members.select("band", F.col("doc_id").alias("b"), F.col("component").alias("cb"))
-    rest = x.join(y, "band").where("ca < cb").select("a", "b").distinct()
-    rest = rest.join(first.select("a", "b"), ["a", "b"], "left_anti").join(first.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    links = links.unionByName(verified(rest, reps, threshold))
+    sizes = stored(bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "near-buckets")
+    members = join_measured(bands, sizes, "band")
+    # The original of many copies shares most buckets with them: the member whose buckets are
+    # largest in all is the hub, and every document is tested with the best hub of its buckets.
+    weight = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
+    members = stored(members.select("band", "doc_id").join(weight, "doc_id"), "near-members")
+    rank = F.struct("weight", (-F.col("doc_id")).alias("order"))
+    hubs = members.groupBy("band").agg(F.max(rank).alias("hub"))
+    tested = (members.join(hubs, "band").where(-F.col("hub.order") != F.col("doc_id"))
+              .groupBy(F.col("doc_id").alias("a")).agg(F.max("hub").alias("hub")).select("a", (-F.col("hub.order")).alias("b")))
+    tested = stored(tested, "near-pairs")
+    links = stored(verified(tested, reps, threshold), "near-links")
+    # Then, in buckets that still hold several components, with the bucket's own hub, and at last
+    # all pairs that are still apart.
+    for last in (False, True):
+        comp = stored(components(links), "near-components").withColumnRenamed("id", "doc_id")
+        placed = members.join(comp, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        several = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(rank).alias("hub"))
+        several = several.where("lo != hi").select("band", (-F.col("hub.order")).alias("hub"))
+        split = stored(placed.join(several, "band"), "near-open")
+        x = split.select("band", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
+        y = split.select("band", F.col("doc_id").alias("b"), F.col("component").alias("cb"), "hub")
+        pairs = x.join(y if last else y.where("b = hub"), "band").where("ca < cb" if last else "ca != cb")
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        known = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        pairs = stored(pairs.join(known, ["a", "b"], "left_anti"), "near-pairs")
+        links = stored(links.unionByName(verified(pairs, reps, threshold)), "near-links")
+        tested = tested.unionByName(pairs)
     groups = stored(components(links), "near-groups").withColumnRenamed("id", "class_id").withColumnRenamed("component", "group_id")
     whole = every.select("doc_id", "c1", "c2", "n").join(classes, ["c1", "c2"], "left") \
         .withColumn("class_id", F.when(F.col("doc_id").isNull() | (F.col("n") == 0), F.col("doc_id")).otherwise(F.col("class_id")))
