@@ -99,7 +99,7 @@ def write_with_csv_fallback(df: DataFrame, path: str) -> tuple[str, str]:
         return "parquet", path
     except Exception:  # noqa: BLE001 - any writer failure falls back
         csv_path = path + "_csv"
-        df.write.mode("overwrite").option("header", True).csv(csv_path)
+        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(csv_path)
         return "csv", csv_path
 
 
@@ -137,7 +137,8 @@ def ingest_catalog(spark: SparkSession, csv_folder: str, out_folder: str,
             n = spark.read.parquet(dst).count()
             return (table, cat, "ok", n, round(time.time() - t0, 3))
         except Exception as e:  # noqa: BLE001 - counted and skipped, like the source job
-            return (table, cat, f"error: {type(e).__name__}", None, round(time.time() - t0, 3))
+            reason = str(e).splitlines()[0][:300] if str(e) else ""
+            return (table, cat, f"error: {type(e).__name__}: {reason}", None, round(time.time() - t0, 3))
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         report = list(pool.map(load, catalog))

@@ -10,6 +10,7 @@ from terrace.sources.fixtures import Tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
+_loaded = False
 
 
 def register(key: str, fn: QueryFn) -> None:
@@ -24,18 +25,21 @@ def model(key: str, build: Callable[[Tables], DataFrame]) -> None:
 
 
 def _load() -> None:
-    # Importing the catalog modules fills QUERIES and the oracle table.
-    from terrace.plans import catalog  # noqa: F401
+    """Import the catalog modules, which fill QUERIES and the oracle table; some of them may have
+    been imported before, so what is registered does not tell."""
+    global _loaded
+    if not _loaded:
+        from terrace.plans import catalog  # noqa: F401
+
+        _loaded = True
 
 
 def queries() -> dict[str, QueryFn]:
-    if not QUERIES:
-        _load()
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    if not QUERIES:
-        _load()
+    _load()
     from terrace.oracle import ORACLE
     return {k: v for k, v in ORACLE.items() if k in QUERIES}

@@ -65,6 +65,9 @@ CSV_CATALOG = (
     ("fact_order_review", "olist_order_reviews_dataset.csv", "fact_order_review", "FACT"),
 )
 
+# Tables with free text, whose CSV fields may hold line breaks inside quotes.
+FREE_TEXT_TABLES = frozenset({"fact_order_review"})
+
 # Product API envelope: {products: [...], total, skip, limit}.
 PRODUCT = T.StructType([_f("id", L), _f("title", S), _f("price", D), _f("stock", L), _f("category", S),
                         _f("rating", D)])

@@ -46,7 +46,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bo
 
 def read_csv_parse_dates(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Timestamps parsed during the scan (TIMESTAMP_NTZ in the declared schema)."""
-    return read_csv(spark, path, schemas.RAW_SCHEMAS[table])
+    return read_csv(spark, path, schemas.RAW_SCHEMAS[table], multiline=table in schemas.FREE_TEXT_TABLES)
 
 
 def read_csv_raw_strings(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -54,7 +54,7 @@ def read_csv_raw_strings(spark: SparkSession, path: str, table: str) -> DataFram
     (a malformed value becomes NULL instead of failing the job)."""
     declared = schemas.RAW_SCHEMAS[table]
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in declared.fields])
-    raw = read_csv(spark, path, as_text)
+    raw = read_csv(spark, path, as_text, multiline=table in schemas.FREE_TEXT_TABLES)
     return raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in declared.fields])
 
 

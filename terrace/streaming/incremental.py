@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from terrace import schemas
 from terrace.functions.exprs import year_month
@@ -29,11 +29,17 @@ from terrace.plans import silver, star
 from terrace.session import path_exists
 
 MARKER_SCHEMA = "batch int, ym string"
+NO_MONTH = "none"  # bucket of orders without a purchase timestamp
+FACTS_BY_ORDER = ("fact_order_item", "fact_order_payment", "fact_order_review")
+
+
+def _month() -> Column:
+    return F.coalesce(year_month("order_purchase_timestamp"), F.lit(NO_MONTH))
 
 
 def land_orders_by_month(orders: DataFrame, folder: str) -> str:
     """Land raw orders as one folder of files per purchase month (the file drop)."""
-    (orders.withColumn("ym", year_month("order_purchase_timestamp"))
+    (orders.withColumn("ym", _month())
      .write.mode("overwrite").partitionBy("ym").parquet(folder))
     return folder
 
@@ -70,9 +76,11 @@ def stream_incremental_orders(spark: SparkSession, raw: Mapping[str, DataFrame],
         # Fact rows for the batch's orders, from the silver layer with the batch as order source.
         scoped = dict(raw)
         scoped["fact_order"] = batch.drop("ym")
-        fact = star.gold_fct_orders(silver.SilverTables(scoped)).withColumn(
-            "ym", year_month("order_purchase_timestamp"))
-        months = [r.ym for r in fact.select("ym").distinct().collect()]  # bounded by the calendar
+        ids = batch.select("order_id").distinct()
+        for name in FACTS_BY_ORDER:  # only the batch's orders are aggregated
+            scoped[name] = raw[name].join(ids, "order_id", "left_semi").select(raw[name].columns)
+        fact = star.gold_fct_orders(silver.SilverTables(scoped)).withColumn("ym", _month())
+        months = [r.ym for r in batch.select(_month().alias("ym")).distinct().collect()]  # bounded by the calendar
         if not months:
             return
         stored = current_versions(spark, root, below=batch_id)
