@@ -146,23 +146,26 @@ def consistent_samples(h: np.ndarray, weight: np.ndarray, starts: np.ndarray, sa
 
 def sampled(docs: DataFrame, shared: DataFrame, n_docs: int, buckets: int, size: int, threshold: float,
             samples: int, rows: int) -> DataFrame:
-    """(doc_id, c1, c2, n, bands, keys, weights) of every row: class hashes of the words, number of
-    shingles and, if the document can have near duplicates, its band hashes and weighted shingles."""
+    """(doc_id, c1, c2, n, bands, keys, weights, total, common) of every row: class hashes of the
+    words, number of shingles and, if the document can have near duplicates, its band hashes, its
+    weighted shingles, their weight and that of the shingles that other documents hold as well.
+    Of equal texts in one block only the first is sampled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         coder = word_hasher()
         top = float(np.log(n_docs + 1))
         for (ids, found), texts in text_blocks(batches, BLOCK_CHARS):
-            names, classes, sizes, picked = [], [], [], []
+            names, classes, sizes, picked, seen = [], [], [], [], set()
             for i, (d, dfs, words) in enumerate(zip(ids, found, coder(texts))):
                 h, tf = shingles(words, size)
                 raw = words.tobytes()
                 classes.append((xxhash.xxh64_intdigest(raw, 1) - (1 << 63), xxhash.xxh64_intdigest(raw, 2) - (1 << 63)))
                 names.append(d)
                 sizes.append(len(h))
-                if not dfs or not len(h):
+                if not dfs or not len(h) or classes[-1] in seen:
                     continue
+                seen.add(classes[-1])
                 key = np.concatenate([(np.frombuffer(x["keys"], dtype="<u4").astype(np.uint64)
                                        | (np.uint64(x["bucket"]) << np.uint64(32))) for x in dfs])
                 df = np.concatenate([np.frombuffer(x["df"], dtype="<u4") for x in dfs])
@@ -173,11 +176,14 @@ def sampled(docs: DataFrame, shared: DataFrame, n_docs: int, buckets: int, size:
                 several = key[at] == own
                 idf = np.where(several, np.maximum(top - np.log(np.maximum(df[at], 1)), 1e-3), top)
                 weight = tf * idf
-                if weight[several].sum() >= threshold * weight.sum() * (1 - 1e-9):
-                    picked.append((i, h, weight))
+                total, common = float(weight.sum()), float(weight[several].sum())
+                if common >= threshold * total * (1 - 1e-9):
+                    picked.append((i, h, weight, total, common))
             bands: list[list[int] | None] = [None] * len(names)
             keys: list[bytes | None] = [None] * len(names)
             weights: list[bytes | None] = [None] * len(names)
+            totals: list[float | None] = [None] * len(names)
+            commons: list[float | None] = [None] * len(names)
             if picked:
                 h, w = (np.concatenate([p[j] for p in picked]) for j in (1, 2))
                 starts = np.cumsum([0] + [len(p[1]) for p in picked[:-1]])
@@ -185,17 +191,20 @@ def sampled(docs: DataFrame, shared: DataFrame, n_docs: int, buckets: int, size:
                 b = np.zeros(sig.shape[:2], dtype=np.uint64) + np.arange(samples // rows, dtype=np.uint64)
                 for j in range(rows):
                     b = mixed(b * ODD + sig[:, :, j])
-                for (i, hs, ws), band in zip(picked, b.view(np.int64)):
+                for (i, hs, ws, total, common), band in zip(picked, b.view(np.int64)):
                     bands[i], keys[i], weights[i] = band.tolist(), hs.tobytes(), ws.astype("<f4").tobytes()
+                    totals[i], commons[i] = total, common
             c1, c2 = zip(*classes)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(keys, pa.binary()), pa.array(weights, pa.binary())],
-                ["doc_id", "c1", "c2", "n", "bands", "keys", "weights"])
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(keys, pa.binary()), pa.array(weights, pa.binary()),
+                 pa.array(totals, pa.float64()), pa.array(commons, pa.float64())],
+                ["doc_id", "c1", "c2", "n", "bands", "keys", "weights", "total", "common"])
 
     lists = shared.groupBy("doc_id").agg(F.collect_list(F.struct("bucket", "keys", "df")).alias("found"))
     joined = _plain(docs).join(lists, "doc_id", "left").select("doc_id", "found", "text")
-    return joined.mapInArrow(run, "doc_id long, c1 long, c2 long, n long, bands array<long>, keys binary, weights binary")
+    return joined.mapInArrow(run, "doc_id long, c1 long, c2 long, n long, bands array<long>, keys binary, weights binary, "
+                                  "total double, common double")
 
 
 def weighted_jaccard(ka: np.ndarray, wa: np.ndarray, kb: np.ndarray, wb: np.ndarray) -> float:
@@ -233,15 +242,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, s
     every = stored(sampled(docs, shared, n_docs, buckets, shingle, threshold, samples, rows), "near-sampled")
     ids = every.select("doc_id", "c1", "c2", "n").where("doc_id IS NOT NULL AND n > 0")
     classes = stored(ids.groupBy("c1", "c2").agg(F.min("doc_id").alias("class_id")), "near-classes")
-    reps = stored(every.where("bands IS NOT NULL").join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
-                  .dropDuplicates(["doc_id"]), "near-reps")
-    bands = reps.select("doc_id", F.explode("bands").alias("band"))
+    # Every class that can have near duplicates has been sampled at one of its documents at least.
+    reps = every.where("bands IS NOT NULL").drop("doc_id").join(classes, ["c1", "c2"])
+    reps = stored(reps.withColumnRenamed("class_id", "doc_id").dropDuplicates(["doc_id"]), "near-reps")
+    bands = reps.select("doc_id", "total", "common", F.explode("bands").alias("band"))
     sizes = stored(bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "near-buckets")
     members = join_measured(bands, sizes, "band")
     # The original of many copies shares most buckets with them: the member whose buckets are
     # largest in all is the hub, and every document is tested with the best hub of its buckets.
     weight = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
-    members = stored(members.select("band", "doc_id").join(weight, "doc_id"), "near-members")
+    members = stored(members.drop("size").join(weight, "doc_id"), "near-members")
     rank = F.struct("weight", (-F.col("doc_id")).alias("order"))
     hubs = members.groupBy("band").agg(F.max(rank).alias("hub"))
     tested = (members.join(hubs, "band").where(-F.col("hub.order") != F.col("doc_id"))
@@ -249,16 +259,22 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, s
     tested = stored(tested, "near-pairs")
     links = stored(verified(tested, reps, threshold), "near-links")
     # Then, in buckets that still hold several components, with the bucket's own hub, and at last
-    # all pairs that are still apart.
+    # all pairs that are still apart and can be similar: what two documents share is at most the
+    # lesser weight of their common shingles, and in a similar pair at least one document has a
+    # total of at most (1 + t) / 2t times its own common weight.
+    shared_most = F.least("common_a", "common_b") * (1 + 1e-6)
+    possible = shared_most >= threshold * (F.col("total_a") + F.col("total_b") - shared_most)
+    light = F.col("total") * (2 * threshold) <= F.col("common") * ((1 + threshold) * (1 + 1e-6))
     for last in (False, True):
         comp = stored(components(links), "near-components").withColumnRenamed("id", "doc_id")
         placed = members.join(comp, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         several = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(rank).alias("hub"))
         several = several.where("lo != hi").select("band", (-F.col("hub.order")).alias("hub"))
         split = stored(placed.join(several, "band"), "near-open")
-        x = split.select("band", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-        y = split.select("band", F.col("doc_id").alias("b"), F.col("component").alias("cb"), "hub")
-        pairs = x.join(y if last else y.where("b = hub"), "band").where("ca < cb" if last else "ca != cb")
+        x, y = (split.where(rows).select("band", *[F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "component", "total", "common")])
+                for side, rows in (("a", F.lit(True)), ("b", light if last else F.col("doc_id") == F.col("hub"))))
+        pairs = x.join(y, (x["band"] == y["band"]) & (F.col("component_a") != F.col("component_b")) & possible)
+        pairs = pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         known = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         pairs = stored(pairs.join(known, ["a", "b"], "left_anti"), "near-pairs")
