@@ -267,6 +267,21 @@ def test_randomness_separates():
     assert min(secrets.randomness(s) for s in ("aaaaaaaaaaaaaaaaaaaa1", "abababababababababab12", "0000000011111111ffff")) > 16
 
 
+@pytest.mark.parametrize("planted", [1, 20, 400])
+def test_short_tokens_among_words(spark, planted):
+    rng = random.Random(planted)
+    alphabets = ["0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", secrets.UPPER + secrets.LOWER + secrets.DIGITS,
+                 secrets.UPPER + secrets.LOWER, secrets.UPPER + secrets.LOWER + secrets.DIGITS + "+/"]
+    tokens = ["".join(rng.choice(a) for _ in range(16 + i % 8)) for a in alphabets for i in range(planted)]
+    tokens = [t for t in tokens if not secrets.ONE_CASE.match(t) and not t.isdigit()]
+    words = ["Bundesverfassungsgericht", "internationalization", "Verwaltungsgericht", "counterrevolutionary", "Wirtschaftsministerium"]
+    texts = [(i, f"x {t} y") for i, t in enumerate(tokens)] + [(10_000 + i, " ".join(words)) for i in range(300)]
+    got = by_id(secrets.find_secrets(spark.createDataFrame(texts, "doc_id long, text string").repartition(2)))
+    found = [i for i, t in enumerate(tokens) if (2, 3, 2 + len(t)) in {(s["start"], s["kind"], s["end"]) for s in got[i]["found"]}]
+    assert len(found) >= 0.95 * len(tokens)
+    assert not any(got[10_000 + i]["found"] for i in range(300))
+
+
 # ------------------------------------------------------------------ 7
 def test_leaks(spark, docs, empty):
     rng = random.Random(4)
