@@ -251,6 +251,31 @@ def test_pii(spark, docs, empty):
     assert cut[1]["text"] is None and "jo.doe" not in cut[80]["text"] and "300.1.1.1" in cut[80]["text"]
 
 
+def iban(rng):
+    body = "".join(rng.choice("0123456789") for _ in range(18))
+    return f"DE{98 - int(body + '131400') % 97:02d}{body}"
+
+
+def test_pii_generators(spark):
+    rng = random.Random(12)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    name = lambda: "".join(rng.choice("abcdefghiklmnoprstu") for _ in range(6))
+    texts = []
+    for i in range(400):
+        spoil = iban(rng)
+        texts += [(len(texts) + k, s) for k, s in enumerate((
+            f"mail {name()}@{name()}.com or +49 30 {digits(7)} today", f"see {digits(3)} {digits(4)} {digits(3)} and {300 + i}.1.22.333 there",
+            f"write {name()} (at) {name()} (dot) com now", f"call (0{digits(2)}) {2 + i % 8}55-{digits(4)} now",
+            f"ssn {100 + i % 500}-{11 + i % 80}-{1000 + i} here", f"iban {iban(rng)} here",
+            f"no {spoil[:-1]}{(int(spoil[-1]) + 1) % 10} here", f"no 000-{11 + i % 80}-{1000 + i} here"))]
+    got = by_id(pii.find_pii(spark.createDataFrame(texts, "doc_id long, text string")))
+    for place, kind in ((2, 0), (3, 3), (4, 4), (5, 5)):
+        hits = [d for d, _ in texts if d % 8 == place and kind in {s["kind"] for s in got[d]["found"]}]
+        assert len(hits) >= 0.95 * 400, (kind, len(hits))
+    for place in (6, 7):
+        assert sum(len(got[d]["found"]) > len(got[d]["base"]) for d, _ in texts if d % 8 == place) <= 0.05 * 400
+
+
 def test_secrets(docs, empty):
     for d, r in by_id(secrets.find_secrets(docs).select("doc_id", secrets.span_text(F.col("base")).alias("s"), secrets.span_text(F.col("found")).alias("f"))).items():
         if d == 81:
