@@ -191,6 +191,23 @@ def test_line_dedup(spark, docs, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_links_beyond_simhash(spark):
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    texts = []
+    for i in range(300):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(12, 70))]
+        # Words replaced by others of the same length: at most a tenth of the characters.
+        left, copy = len(" ".join(words)) // 10, list(words)
+        for j in rng.sample(range(len(words)), len(words)):
+            if len(words[j]) <= left:
+                copy[j], left = "".join(rng.choice("xyz") for _ in words[j]), left - len(words[j])
+        texts += [(i, " ".join(words)), (1000 + i, " ".join(copy))]
+    got = by_id(line_dedup.dedup_lines(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)))
+    assert sum(got[1000 + i]["n_removed"] for i in range(300)) >= 0.98 * 300
+    assert not any(got[i]["n_removed"] for i in range(300))
+
+
 # ------------------------------------------------------------------ 5
 def test_language(spark, docs, empty):
     got = by_id(language.identify(docs, F.coalesce(F.col("doc_id") % 4 < 2, F.lit(False))))
