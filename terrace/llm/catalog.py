@@ -21,7 +21,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     from terrace.llm import oracle
 
-    return {"op9_quality_rules": oracle.op9()}
+    return {"op9_quality_rules": oracle.op9(), "op11_filter_audit": oracle.op11()}
 
 
 def query(fn: Query) -> Query:
@@ -126,3 +126,11 @@ def op7_benchmark_leaks(spark, sf_dir):
     from terrace.llm import decontaminate as D
 
     return D.contaminated(C.documents(spark, sf_dir), C.read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_filter_audit(spark, sf_dir):
+    """Counts of every part, filter order and step."""
+    from terrace.llm import filter_audit as A
+
+    return A.audit_filters(C.documents(spark, sf_dir), C.read_table(spark, sf_dir, "labels"))

@@ -88,6 +88,23 @@ class WordCodes:
         return [np.frombuffer(b"".join(map(get, r)), dtype=np.int64) for r in runs]
 
 
+#: What separates words in the contracts of several operators: blank, tab, line breaks.
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_slices(data: bytes, size: int = 1 << 24) -> Iterator[bytes]:
+    """A text in slices of about ``size`` bytes that end before white space, so that no word is
+    cut; ``bytes.split`` of each gives the words of the whole."""
+    start = 0
+    while len(data) - start > size:
+        end = BLANK.search(data, start + size)
+        if end is None:
+            break
+        yield data[start:end.start()]
+        start = end.start()
+    yield data[start:] if start else data
+
+
 def text_size(docs: DataFrame) -> int:
     """Characters of all texts."""
     return docs.agg(F.sum(F.length("text"))).first()[0] or 0

@@ -30,3 +30,32 @@ judged AS (SELECT *, CAST({bits} AS BIGINT) AS failed FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (failed & {R.mask_of(R.BASE)}) != 0 AS base_failed, (failed & {R.mask_of(R.POLICIES['v2'])}) = 0 AS kept, failed
 FROM judged"""
+
+
+def op11() -> str:
+    fails = " ".join(f"WHEN contains(failed, filter_order[{k}]) THEN {k}" for k in range(1, 6))
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY doc_id),
+words AS (SELECT *, regexp_extract_all(t, '[^{_W}]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first_id FROM texts),
+judged AS (SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad, concat(
+    CASE WHEN len(w) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+    CASE WHEN 100 * {_count('[A-Z]')} > 2 * length(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > first_id THEN 'E' END) AS failed FROM words LEFT JOIN marks USING (doc_id)),
+sets AS (SELECT part, failed, count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE bad) AS n_bad
+         FROM judged GROUP BY part, failed),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+           FROM letters a, letters b, letters c, letters d, letters e
+           WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+gone AS (SELECT part, filter_order, failed, n, n_good, n_bad, CASE {fails} ELSE 6 END AS fell FROM sets, orders),
+cells AS (SELECT part, filter_order, step, filter_order[step] AS f,
+    coalesce(sum(n) FILTER (WHERE fell > step), 0) AS kept, coalesce(sum(n) FILTER (WHERE fell = step), 0) AS removed,
+    coalesce(sum(n) FILTER (WHERE fell < step AND contains(failed, filter_order[step])), 0) AS redundant,
+    coalesce(sum(n) FILTER (WHERE failed = filter_order[step]), 0) AS unique_fails,
+    coalesce(sum(n_good) FILTER (WHERE fell = step), 0) AS good_lost, coalesce(sum(n_bad) FILTER (WHERE fell = step), 0) AS toxic_lost
+    FROM gone, (SELECT unnest(range(1, 6)) AS step) GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM cells"""
