@@ -21,7 +21,8 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     from terrace.llm import oracle
 
-    return {"op9_quality_rules": oracle.op9(), "op11_filter_audit": oracle.op11()}
+    return {"op9_quality_rules": oracle.op9(), "op11_filter_audit": oracle.op11(),
+            "op12_substring_dedup": oracle.op12()}
 
 
 def query(fn: Query) -> Query:
@@ -134,3 +135,12 @@ def op11_filter_audit(spark, sf_dir):
     from terrace.llm import filter_audit as A
 
     return A.audit_filters(C.documents(spark, sf_dir), C.read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_substring_dedup(spark, sf_dir):
+    """What every document keeps when passages of earlier ones are removed."""
+    from terrace.llm import substring_dedup as S
+
+    kept = S.dedup_passages(C.documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))

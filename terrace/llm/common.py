@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terrace.session import scratch_path
@@ -36,6 +37,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored_alone(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, after which Spark may drop the shuffle files of this write: for plans that
+    share no exchange with a later one."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.set(CLEANUP, before)
+
+
+def with_blocks(docs: DataFrame, columns: list[Column], max_chars: int) -> DataFrame:
+    """``columns`` and ``blk``, the same number for up to some ``max_chars`` characters of rows
+    that follow each other in a file. File and place of a row decide, so that the number is the
+    same in every job that reads the table; rows that come from no file are stored first."""
+    spark = docs.sparkSession
+    rows, chars = docs.agg(F.count(F.lit(1)), F.sum(F.length("text"))).first()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = max(1, min(max_chars * rows // max(chars or 1, 1), rows // (4 * parts)))
+    place = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / size)).alias("blk")
+    try:
+        return docs.select(place, *columns)
+    except AnalysisException:
+        return stored(docs.select(*columns), "rows").select(place, "*")
+
+
 def join_measured(big: DataFrame, small: DataFrame, on, how: str = "inner",
                   max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join with a stored side of narrow rows: its rows are counted, and it is broadcast up to

@@ -59,3 +59,17 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
   CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
   CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
 FROM cells"""
+
+
+def op12() -> str:
+    window = " || ' ' || ".join(f"w[i + {k}]" if k else "w[i]" for k in range(13))
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^{_W}]+') AS w FROM documents),
+windows AS (SELECT rid, doc_id, i, {window} AS g
+            FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM texts WHERE len(w) >= 13)),
+late AS (SELECT rid, i FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY g)),
+cut AS (SELECT DISTINCT rid, i + k AS i FROM late CROSS JOIN (SELECT unnest(range(0, 13)) AS k)),
+places AS (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM texts),
+kept AS (SELECT rid, string_agg(w[i], ' ' ORDER BY i) AS t, count(*) AS n FROM places ANTI JOIN cut USING (rid, i) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256 FROM texts LEFT JOIN kept USING (rid)"""
