@@ -22,7 +22,7 @@ def oracle_sql() -> dict[str, str]:
     from terrace.llm import oracle
 
     return {"op9_quality_rules": oracle.op9(), "op11_filter_audit": oracle.op11(),
-            "op12_substring_dedup": oracle.op12()}
+            "op12_substring_dedup": oracle.op12(), "op13_phrase_collocations": oracle.op13()}
 
 
 def query(fn: Query) -> Query:
@@ -144,3 +144,11 @@ def op12_substring_dedup(spark, sf_dir):
 
     kept = S.dedup_passages(C.documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
+@query
+def op13_phrase_collocations(spark, sf_dir):
+    """The 2,000 best phrases of every language."""
+    from terrace.llm import collocations as P
+
+    return P.collocations(C.documents(spark, sf_dir))

@@ -73,3 +73,29 @@ places AS (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM texts),
 kept AS (SELECT rid, string_agg(w[i], ' ' ORDER BY i) AS t, count(*) AS n FROM places ANTI JOIN cut USING (rid, i) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(t, '')) AS kept_sha256 FROM texts LEFT JOIN kept USING (rid)"""
+
+
+def op13() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    runs = " UNION ALL ".join(f"SELECT lang, array_slice(w, i, i + {m - 1}) AS p FROM (SELECT lang, w, "
+                              f"unnest(range(1, len(w) - {m - 2})) AS i FROM pieces WHERE len(w) >= {m})" for m in (1, 2, 3, 4))
+    cuts = " UNION ALL ".join(f"SELECT lang, p, a, {k} AS k, array_slice(p, 1, {k}) AS head, array_slice(p, {k + 1}, len(p)) AS tail "
+                              f"FROM cands WHERE len(p) > {k}" for k in (1, 2, 3))
+    inner = " UNION ALL ".join(f"SELECT lang, array_slice(p, {s}, {s + m - 1}) AS p, a AS longer FROM cands WHERE len(p) >= {max(s + m - 1, m + 1)}"
+                               for m in (2, 3) for s in range(1, 6 - m))
+    return f"""
+WITH pieces AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (SELECT coalesce(lang, 'und') AS lang,
+  unnest(string_split_regex({lower}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+counts AS (SELECT lang, p, count(*) AS a FROM ({runs}) GROUP BY lang, p),
+cands AS (SELECT * FROM counts WHERE len(p) > 1 AND a >= 30),
+cuts AS ({cuts}),
+scored AS (SELECT c.lang, c.p, c.a, c.k, x.a AS l, y.a AS r, (2000000 * CAST(c.a AS HUGEINT)) // (x.a + y.a) AS score FROM cuts c
+  JOIN counts x ON x.lang = c.lang AND x.p = c.head JOIN counts y ON y.lang = c.lang AND y.p = c.tail),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inside AS (SELECT lang, p, max(longer) AS longer FROM ({inner}) GROUP BY lang, p),
+ranked AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM best JOIN totals USING (lang)
+  LEFT JOIN inside USING (lang, p) WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked
+QUALIFY rank <= 2000"""
