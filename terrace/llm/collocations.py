@@ -45,7 +45,7 @@ GAP = -1
 _TABLE = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t" + bytes(range(65, 91)), b"\n" * 10 + b" " + bytes(range(97, 123)))
 
 
-def _slices(text: bytes, size: int = 1 << 22) -> Iterator[bytes]:
+def _slices(text: bytes, size: int) -> Iterator[bytes]:
     """A text, with separators replaced, in parts that end between pieces."""
     text = text.translate(_TABLE)
     start = 0
@@ -85,19 +85,19 @@ class Unit:
                                 pa.array([codes.tobytes()], pa.binary())], ["unit", "lang", "n", "words", "codes"])
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
+def occurrences(docs: DataFrame, unit_chars: int = UNIT_CHARS) -> DataFrame:
     """(unit, lang, n, words, codes): all word occurrences, in order, with gaps between pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made, units = TaskContext.get().partitionId(), 0, {}
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
-                for part in _slices(text.as_py()):
+                for part in _slices(text.as_py(), min(unit_chars, 1 << 22)):
                     unit = units.setdefault(lang, Unit())
                     unit.add(part)
-                    if unit.chars >= UNIT_CHARS:
+                    if unit.chars >= unit_chars:
                         yield units.pop(lang).row((task << 32) + made, lang)
                         made += 1
-            if sum(u.chars for u in units.values()) >= 4 * UNIT_CHARS:
+            if sum(u.chars for u in units.values()) >= 4 * unit_chars:
                 for lang in list(units):
                     yield units.pop(lang).row((task << 32) + made, lang)
                     made += 1
@@ -216,10 +216,11 @@ def keep_phrases(k: int):
     return run
 
 
-def frequent_phrases(docs: DataFrame, max_words: int, min_count: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def frequent_phrases(docs: DataFrame, max_words: int, min_count: int,
+                     unit_chars: int = UNIT_CHARS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Words (id, lang, word), phrases (words: ids, f) of 1 to ``max_words`` words that occur
     ``min_count`` times, and all occurrences (lang, n)."""
-    base = C.stored_alone(occurrences(docs), "phrases-occurrences")
+    base = C.stored_alone(occurrences(docs, unit_chars), "phrases-occurrences")
     totals = base.groupBy("lang").agg(F.sum("n").alias("n"))
     words = base.select("unit", "lang", "words", "codes").mapInArrow(unit_words, "lang string, word string, unit long, code int, n long")
     f = F.sum("n").over(Window.partitionBy("lang", "word"))
@@ -244,9 +245,9 @@ def frequent_phrases(docs: DataFrame, max_words: int, min_count: int) -> tuple[D
 
 
 def collocations(docs: DataFrame, max_words: int = 4, min_count: int = 30, top: int = 2000,
-                 contained: int = 80) -> DataFrame:
+                 contained: int = 80, unit_chars: int = UNIT_CHARS) -> DataFrame:
     """The best phrases of each language: lang, rank, phrase, a, l, r, n, score."""
-    names, found, totals = frequent_phrases(docs, max_words, min_count)
+    names, found, totals = frequent_phrases(docs, max_words, min_count, unit_chars)
     cands = found.where(F.size("words") > 1)
     size = F.size("words")
 

@@ -83,11 +83,12 @@ def mask_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marks = (labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.max(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("good"),
                   F.max(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("toxic")))
-    # Rows without an id have no label: kept out of the join, where they would meet in one task.
-    named = (rows.where("doc_id IS NOT NULL").join(marks, "doc_id", "left").fillna(0, ["good", "toxic"]))
-    nameless = rows.where("doc_id IS NULL").withColumns({"good": F.lit(0), "toxic": F.lit(0)})
+    # Rows without an id have no label; their digest spreads them over the tasks of the join.
+    rows = rows.withColumn("spread", F.when(F.col("doc_id").isNull(), F.xxhash64("digest")).otherwise(0))
+    rows = (rows.join(marks.withColumn("spread", F.lit(0).cast("long")), ["doc_id", "spread"], "left")
+            .fillna(0, ["good", "toxic"]))
     least: Column = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n")))
-    groups = C.stored(named.unionByName(nameless).groupBy("digest", "part", "bits", "good", "toxic")
+    groups = C.stored(rows.groupBy("digest", "part", "bits", "good", "toxic")
                       .agg(F.sum("n").alias("n"), least.alias("least"),
                            F.sum(F.when(F.col("doc_id").isNull(), F.col("n")).otherwise(0)).alias("n_null")), "audit-texts")
     first = groups.groupBy("digest").agg(F.min("least.doc_id").alias("first"))
