@@ -2,8 +2,11 @@
 
 import os
 import re
+import subprocess
+import sys
 
 import __spark_entry__ as E
+from terrace import registry
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 # Library-only (a query over rows typed into the driver would not grow with the data).
@@ -25,7 +28,14 @@ def survey_keys() -> set[str]:
 def test_every_survey_key_is_registered_with_an_oracle():
     keys = survey_keys()
     assert len(keys) > 150
-    registered, oracles = set(E.queries()), set(E.oracle_sql())
+    registered, oracles = set(registry.queries()), set(registry.oracle_sql())
     missing = sorted(keys - registered - LIBRARY_ONLY)
     assert not missing, missing
     assert registered == oracles
+    assert registered <= set(E.queries()) and oracles <= set(E.oracle_sql())
+
+
+def test_entry_survives_a_failed_import_of_the_training_data_operators():
+    code = ("import sys; sys.modules['pyarrow'] = None; import __spark_entry__ as E; "
+            "assert len(E.queries()) == len(E.oracle_sql()) > 150")
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
