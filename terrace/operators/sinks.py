@@ -84,12 +84,18 @@ def write_sorted(df: DataFrame, path: str, keys: Sequence[str], partitions: int
     return write_parquet(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), path)
 
 
+def write_rebalanced(df: DataFrame, path: str, part_col: str, mode: str = "overwrite") -> str:
+    """Partitioned write with few files a folder: the rows are rebalanced by ``part_col``
+    first, so that one task writes a small folder, while a folder that holds a large share of
+    the rows is split over several tasks by size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)
+    instead of landing in one."""
+    df.hint("rebalance", part_col).write.mode(mode).partitionBy(part_col).parquet(path)
+    return path
+
+
 def write_partitioned_by_month(df: DataFrame, path: str, ts_col: str, part_col: str = "ym") -> str:
     """Partition a fact by ``yyyyMM`` of a timestamp; readers filtering on ``ym`` prune folders."""
-    # No repartition by month: a hot month would land in a single task. Each task writes one
-    # file per month it holds (the partitioned writer sorts by month inside the task).
-    df.withColumn(part_col, year_month(ts_col)).write.mode("overwrite").partitionBy(part_col).parquet(path)
-    return path
+    return write_rebalanced(df.withColumn(part_col, year_month(ts_col)), path, part_col)
 
 
 def write_with_csv_fallback(df: DataFrame, path: str) -> tuple[str, str]:

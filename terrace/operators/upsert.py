@@ -29,12 +29,22 @@ def upsert_to_new_version(target_path: str, batch: DataFrame, keys: Sequence[str
     return new_path
 
 
-def dedup_replacing(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """Keep the row with the highest ``version`` per key (a replacing-merge). Done as a
-    partial-then-final ``max_by`` aggregate, so a hot key is reduced map-side."""
+def dedup_replacing(df: DataFrame, keys: Sequence[str], version: str, sequence: Sequence[str | Column] = ()) -> DataFrame:
+    """Keep the row with the highest ``version`` per key (a replacing-merge). Of equal versions
+    the one inserted last by ``sequence`` stays (see ``insertion_sequence``), of those the
+    greatest row, so the result never depends on the order in which rows are read; NULL is
+    lowest throughout. Done as a partial-then-final ``max`` of a struct, so a hot key is
+    reduced map-side."""
     payload = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*payload), F.col(version)).alias("_best")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col("_best")[c].alias(c) for c in payload])
+    rank = [F.col(version).alias("_v"), *[(F.col(c) if isinstance(c, str) else c).alias(f"_s{i}") for i, c in enumerate(sequence)]]
+    best = F.max(F.struct(*rank, F.struct(*payload).alias("_row"))).alias("_best")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col("_best._row")[c].alias(c) for c in payload])
+
+
+def insertion_sequence() -> Column:
+    """The order in which rows of a stored table were written: age of the file, then the place
+    in it. Only for DataFrames that read files."""
+    return F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index")
 
 
 def incremental_filter(source: DataFrame, target: DataFrame, ts: str) -> DataFrame:

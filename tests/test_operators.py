@@ -1,6 +1,7 @@
 """Sinks, CSV readers, quality tests and table edits."""
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -86,6 +87,19 @@ def test_dedup_replacing_keeps_latest(spark):
     assert sorted(tuple(r) for r in U.dedup_replacing(df, ["k"], "ver").collect()) == [(1, "new", 2), (2, "only", 1)]
 
 
+def test_dedup_replacing_breaks_ties_by_insertion(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    schema = "k long, v string, tags array<string>, ver int"
+    for v in ("z", "m", None, "a"):  # each write is a later insertion
+        spark.createDataFrame([(1, v, ["x"], 1), (2, "old", None, 0)], schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    stored = spark.read.parquet(path)
+    got = U.dedup_replacing(stored.withColumn("seq", U.insertion_sequence()), ["k"], "ver", ["seq"]).drop("seq")
+    assert sorted(map(tuple, got.collect())) == [(1, "a", ["x"], 1), (2, "old", None, 0)]
+    # Without a sequence the greatest row stays, whatever the order of reading.
+    assert {r.k: r.v for r in U.dedup_replacing(stored, ["k"], "ver").collect()} == {1: "z", 2: "old"}
+
+
 def test_incremental_filter(spark):
     src = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "id long, ts long")
     tgt = spark.createDataFrame([(1, 10), (2, 20)], "id long, ts long")
@@ -118,6 +132,10 @@ def test_sorted_and_partitioned_writes(spark, tmp_dir):
                                  .alias("ts"))
     p = K.write_partitioned_by_month(df, os.path.join(tmp_dir, "pm"), "ts")
     assert "ym=202401" in os.listdir(p)
+    many = df.union(df.limit(5).withColumn("ts", F.expr("timestamp_ntz'2024-02-01 00:00:00'"))).repartition(8)
+    p = K.write_partitioned_by_month(many, os.path.join(tmp_dir, "pm2"), "ts")
+    files = {m: [f for f in os.listdir(os.path.join(p, m)) if f.endswith(".parquet")] for m in ("ym=202401", "ym=202402")}
+    assert all(len(f) == 1 for f in files.values()), files  # one task wrote each month
     s = K.write_sorted(df, os.path.join(tmp_dir, "sorted"), ["id"], partitions=4)
     assert spark.read.parquet(s).count() == 100
 
