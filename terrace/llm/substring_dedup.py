@@ -97,10 +97,47 @@ class Block:
         return np.flatnonzero((self.left >= WINDOW) & wanted[self.doc])
 
 
-def _ids(column) -> tuple[np.ndarray, np.ndarray]:
+def _runs(batches: Iterator[pa.RecordBatch], max_chars: int | None = None) -> Iterator[tuple[int, list, list[bytes]]]:
+    """(blk, ids, texts) of rows (blk, doc_id, text) that follow each other with one blk; with
+    ``max_chars`` also cut after about so many bytes."""
+    blk, ids, texts, chars = None, [], [], 0
+    for b in batches:
+        for k, i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            if texts and (k != blk or (max_chars and chars >= max_chars)):
+                yield blk, ids, texts
+                ids, texts, chars = [], [], 0
+            blk = k
+            ids.append(i)
+            texts.append(t.as_py())
+            chars += len(texts[-1])
+    if texts:
+        yield blk, ids, texts
+
+
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a block in one row, their texts compressed: a smaller shuffle."""
+    for blk, ids, texts in _runs(batches, BLOCK_CHARS):
+        whole = b"".join(texts)
+        yield pa.record_batch([[blk], pa.array([ids], pa.list_(pa.int64())),
+                               pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
+                               pa.array([pa.compress(whole, "zstd", asbytes=True)], pa.binary())],
+                              ["blk", "ids", "sizes", "texts"])
+
+
+def _unpacked(docs: pa.Table) -> tuple[list, list[bytes]]:
+    """Ids and texts of the rows of a block."""
+    ids, texts = [], []
+    for i, sizes, data in zip(docs["ids"].to_pylist(), docs["sizes"].to_pylist(), docs["texts"]):
+        whole = pa.decompress(data.as_py(), sum(sizes), "zstd", asbytes=True)
+        ends = np.cumsum(sizes)
+        ids += i
+        texts += [whole[e - n:e] for e, n in zip(ends.tolist(), sizes)]
+    return ids, texts
+
+
+def _known(ids: list) -> tuple[np.ndarray, np.ndarray]:
     """Ids with 0 for null, and which are given."""
-    given = ~np.array(column.is_null().to_pylist(), dtype=bool)
-    return np.array([v or 0 for v in column.to_pylist()], dtype=np.int64), given
+    return (np.array([i or 0 for i in ids], dtype=np.int64), np.array([i is not None for i in ids], dtype=bool))
 
 
 def _grouped(keys: list[np.ndarray], ids: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -119,28 +156,15 @@ def block_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """(hash, blk, n) of the distinct anchors of every run of rows with one blk; n is 2 if
     several of its documents hold the anchor, else 1."""
     hashes = WordHashes()
-    blk, ids, texts = None, [], []
-
-    def flush():
-        given = np.array([i is not None for i in ids], dtype=bool)
+    for blk, ids, texts in _runs(batches):
+        numbers, given = _known(ids)
         block = Block(texts, hashes)
         at, values = block.anchors(given)
         if len(at):
-            (keys,), low, high = _grouped([values], np.array([i or 0 for i in ids], dtype=np.int64)[block.doc[at]])
+            (keys,), low, high = _grouped([values], numbers[block.doc[at]])
             yield pa.record_batch([pa.array(keys), pa.array(np.full(len(keys), blk, np.int64)),
                                    pa.array(1 + (low < high).astype(np.int32))], ["hash", "blk", "n"])
 
-    for b in batches:
-        for k, i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-            if k != blk and texts:
-                yield from flush()
-                ids, texts = [], []
-            blk = k
-            ids.append(i)
-            texts.append(t.as_py())
-    if texts:
-        yield from flush()
-
 
 def _has(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
@@ -153,8 +177,9 @@ def block_windows(docs: pa.Table, shared: pa.Table) -> pa.Table:
     empty = pa.table([pa.array([], pa.int64())] * 5, names)
     if not (docs.num_rows and shared.num_rows):
         return empty
-    ids, given = _ids(docs["doc_id"])
-    block = Block(docs["text"].to_pylist(), WordHashes())
+    own, texts = _unpacked(docs)
+    ids, given = _known(own)
+    block = Block(texts, WordHashes())
     at, values = block.anchors(given)
     if not len(at):
         return empty
@@ -171,8 +196,8 @@ def block_windows(docs: pa.Table, shared: pa.Table) -> pa.Table:
 
 def block_kept(docs: pa.Table, earlier: pa.Table) -> pa.Table:
     """The documents of a block without the words of windows that an earlier document holds."""
-    ids, given = _ids(docs["doc_id"])
-    texts = docs["text"].to_pylist()
+    own_ids, texts = _unpacked(docs)
+    ids, given = _known(own_ids)
     removed = np.zeros(0, dtype=bool)
     if earlier.num_rows and texts:
         block = Block(texts, WordHashes())
@@ -212,7 +237,7 @@ def block_kept(docs: pa.Table, earlier: pa.Table) -> pa.Table:
         n_words.append(n)
         n_removed.append(cut)
         kept.append(b" ".join(p for p in parts if p).decode())
-    return pa.table([docs["doc_id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+    return pa.table([pa.array(own_ids, pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                      pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept_text"])
 
 
@@ -225,7 +250,8 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
     holders = F.sum("n").over(Window.partitionBy("hash"))
     shared = C.stored_alone(anchors.withColumn("holders", holders).where("holders > 1").select("blk", "hash"),
                             "passage-anchors")
-    by_block = rows.groupBy("blk")
+    by_block = (rows.select("blk", "doc_id", "text")
+                .mapInArrow(packed, "blk long, ids array<long>, sizes array<long>, texts binary").groupBy("blk"))
     windows = by_block.cogroup(shared.groupBy("blk")).applyInArrow(
         block_windows, "h1 long, h2 long, low long, high long, blk long")
     least = F.min("low").over(Window.partitionBy("h1", "h2"))
