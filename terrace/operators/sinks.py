@@ -123,13 +123,42 @@ def conform_to_declared(df: DataFrame, declared: T.StructType, defaults: dict |
     return df.select(cols)
 
 
+MALFORMED = "_malformed"  # column of a checked reader: the text of a row that does not fit
+
+
+def _good_rows(df: DataFrame) -> DataFrame:
+    """Rows of a checked reader, without its column; a malformed row fails the job, so that a
+    write commits nothing."""
+    if MALFORMED not in df.columns:
+        return df
+    bad = F.col(MALFORMED)
+    fail = F.raise_error(F.concat(F.lit("malformed row: "), F.left(bad, F.lit(200))))
+    return df.where(F.when(bad.isNull(), True).otherwise(fail.cast("boolean"))).drop(MALFORMED)
+
+
+def _reason(df: DataFrame | None, error: Exception) -> str:
+    """Malformed rows, counted, where a checked reader has some, else the error's first line."""
+    if df is not None and MALFORMED in df.columns:
+        try:
+            # The CSV source answers no query over its column of malformed rows alone.
+            bad = df.where(F.col(MALFORMED).isNotNull()).agg(
+                F.count(F.lit(1)).alias("n"), F.min(MALFORMED).alias("e"), F.count(df.columns[0]).alias("_other")).first()
+            if bad.n:
+                return f"error: {bad.n} malformed rows, such as {bad.e[:200]!r}"
+        except Exception:  # noqa: BLE001 - the read itself fails: the first error tells
+            pass
+    first = str(error).splitlines()[0][:300] if str(error) else ""
+    return f"error: {type(error).__name__}: {first}"
+
+
 def ingest_catalog(spark: SparkSession, csv_folder: str, out_folder: str,
                    reader: Callable[[SparkSession, str, str], DataFrame],
                    catalog=schemas.CSV_CATALOG, threads: int = 4) -> DataFrame:
     """Per catalog entry: read the CSV, write Parquet, count rows. The tables are independent
-    and load as concurrent Spark jobs. A missing file or an error is recorded and skipped;
-    the report is a small DataFrame ``(table_name, category, status, rows, seconds)`` in
-    catalog order. Overall success = zero failures."""
+    and load as concurrent Spark jobs. A missing file or an error is recorded and skipped; an
+    entry with malformed rows (column ``_malformed`` of the reader) is an error that names their
+    number and one of them, and writes nothing. The report is a small DataFrame ``(table_name,
+    category, status, rows, seconds)`` in catalog order; ``ingest_outcome`` sums it up."""
 
     def load(entry) -> tuple:
         _label, fname, table, cat = entry
@@ -137,16 +166,29 @@ def ingest_catalog(spark: SparkSession, csv_folder: str, out_folder: str,
         t0 = time.time()
         if not path_exists(spark, src):
             return (table, cat, "missing", None, 0.0)
+        df = None
         try:
             dst = f"{out_folder.rstrip('/')}/{table}"
-            write_parquet(reader(spark, src, table), dst)
+            df = reader(spark, src, table)
+            write_parquet(_good_rows(df), dst)
             n = spark.read.parquet(dst).count()
             return (table, cat, "ok", n, round(time.time() - t0, 3))
         except Exception as e:  # noqa: BLE001 - counted and skipped, like the source job
-            reason = str(e).splitlines()[0][:300] if str(e) else ""
-            return (table, cat, f"error: {type(e).__name__}: {reason}", None, round(time.time() - t0, 3))
+            return (table, cat, _reason(df, e), None, round(time.time() - t0, 3))
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         report = list(pool.map(load, catalog))
     schema = "table_name string, category string, status string, rows bigint, seconds double"
     return spark.createDataFrame(report, schema)
+
+
+def ingest_outcome(report: DataFrame) -> DataFrame:
+    """One row over an ingest report: tables loaded, missing and failed, rows, and ``success``,
+    which is true if nothing failed and at least one table loaded."""
+    def n(cond):
+        return F.count(F.when(cond, 1))
+
+    ok, missing = F.col("status") == "ok", F.col("status") == "missing"
+    return report.agg(n(ok).alias("loaded"), n(missing).alias("missing"), n(~ok & ~missing).alias("failed"),
+                      F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+                      ((n(~ok & ~missing) == 0) & (n(ok) > 0)).alias("success"))

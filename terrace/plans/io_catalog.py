@@ -240,7 +240,7 @@ def sink_partition_month(spark, sf_dir):
 @key("ingest_report", _catalog_counts_sql(True), *[t for _l, _f, t, _c in schemas.CSV_CATALOG])
 def ingest_report(spark, sf_dir):
     folder = _land_catalog(spark, sf_dir)
-    rep = K.ingest_catalog(spark, folder, scratch_path(spark, "raw-parquet"), S.read_csv_parse_dates)
+    rep = K.ingest_catalog(spark, folder, scratch_path(spark, "raw-parquet"), S.read_csv_checked)
     return rep.select("table_name", "category", "status", "rows")
 
 

@@ -19,13 +19,13 @@ def test_stream_restart_matches_batch(spark, tmp_dir):
     landed, target, ckpt = (os.path.join(tmp_dir, x) for x in ("landed", "target", "ckpt"))
     early = orders.where(F.year("order_purchase_timestamp") < 1998)
     early.write.partitionBy("ym").parquet(landed)
-    stream_incremental_orders(spark, tables, landed, target, ckpt)
+    stream_incremental_orders(spark, tables, landed, target, ckpt, files_per_trigger=40)
     assert current_fact(spark, target).count() == star.gold_fct_orders(
         silver.SilverTables({**tables, "fact_order": early.drop("ym")})).count()
     # More files land; a new query on the same checkpoint processes only the new ones.
     orders.where(F.year("order_purchase_timestamp") >= 1998).write.mode("append").partitionBy("ym").parquet(landed)
     before = current_versions(spark, target)
-    stream_incremental_orders(spark, tables, landed, target, ckpt)
+    stream_incremental_orders(spark, tables, landed, target, ckpt, files_per_trigger=40)
     after = current_versions(spark, target)
     # Months the second run did not touch keep the version the first run wrote.
     assert all(after[m] == v for m, v in before.items() if m < "199801")
