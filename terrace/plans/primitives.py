@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from terrace.functions import exprs as X
 from terrace.functions.joins import left_join_many
-from terrace.functions.stats import exact_median, global_row_number, ranked
+from terrace.functions.stats import exact_median, global_row_number, ranked, top_distinct_ranked
 from terrace.oracle import INITCAP, R2
 from terrace.plans import analytics, marts
 from terrace.plans.silver import SilverTables
@@ -472,10 +472,8 @@ SELECT * FROM (SELECT seller_state, seller_id, total_revenue,
        DENSE_RANK() OVER (PARTITION BY seller_state ORDER BY total_revenue DESC NULLS FIRST) AS rnk
        FROM gold_seller_performance) WHERE rnk <= 3""", "gold_seller_performance")
 def win_dense_rank(t):
-    w = Window.partitionBy("seller_state").orderBy(F.col("total_revenue").desc_nulls_first())
-    return (marts.gold_seller_performance(t)
-            .select("seller_state", "seller_id", "total_revenue", F.dense_rank().over(w).cast("bigint").alias("rnk"))
-            .where(F.col("rnk") <= 3))
+    s = marts.gold_seller_performance(t).select("seller_state", "seller_id", "total_revenue")
+    return top_distinct_ranked(s, ["seller_state"], "total_revenue", 3, "rnk")
 
 
 @prim("win_row_number", """
