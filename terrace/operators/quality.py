@@ -34,6 +34,25 @@ def dq_not_null(df: DataFrame, model: str, column: str) -> DataFrame:
     return _report(df.agg(F.count(F.when(F.col(column).isNull(), 1)).alias("n")), model, "not_null", column)
 
 
+def dq_checks(df: DataFrame, model: str, checks: Sequence[tuple[str, str, Column]], keys: Sequence[str] = ()) -> DataFrame:
+    """Several tests of a model in one scan: a report row for each (test, column, condition of a
+    failing row), and with ``keys`` one for their uniqueness. Without keys all counts are one
+    aggregate; with keys rows are counted by key first, and the other counts ride along."""
+    counts = {f"c{i}": F.count(F.when(c, 1)) for i, (_, _, c) in enumerate(checks)}
+    rows = [(test, column, f"c{i}") for i, (test, column, _) in enumerate(checks)]
+    if keys:
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
+        each = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in counts.items()])
+        df, counts = each, {n: F.sum(n) for n in counts} | {"u": F.count(F.when(complete & (F.col("_n") > 1), 1))}
+        rows.append(("unique", ",".join(keys), "u"))
+    one = df.agg(*[c.alias(n) for n, c in counts.items()])
+    each = F.explode(F.array(*[F.struct(F.lit(t).alias("test"), F.lit(c).alias("column"), F.col(n).alias("n")) for t, c, n in rows]))
+    one = one.select(each.alias("x")).select("x.*")
+    n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
+    return one.select(F.lit(model).alias("model"), "test", "column", n.alias("failing_rows"),
+                      F.when(n == 0, "pass").otherwise("fail").alias("status"))
+
+
 def dq_accepted_values(df: DataFrame, model: str, column: str, values: Sequence) -> DataFrame:
     """Fails for values outside the list (NULL is not a failure, as in SQL ``NOT IN``)."""
     bad = ~F.col(column).isin(*values)

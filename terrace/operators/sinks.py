@@ -77,11 +77,15 @@ def normalize_types(df: DataFrame) -> DataFrame:
     return df.select(cols)
 
 
-def write_sorted(df: DataFrame, path: str, keys: Sequence[str], partitions: int | None = None) -> str:
+def write_sorted(df: DataFrame, path: str, keys: Sequence[str], partitions: int | None = None,
+                 observe: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Full-refresh table stored ordered by its (possibly composite) key: range-partitioned
-    on the key and sorted inside each file, so readers can skip row groups by min/max."""
+    on the key and sorted inside each file, so readers can skip row groups by min/max.
+    ``observe`` may attach metrics to the rows as they are written (before the sort they would
+    also count the rows that the range bounds are sampled from)."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return write_parquet(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), path)
+    rows = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    return write_parquet(observe(rows) if observe else rows, path)
 
 
 def write_rebalanced(df: DataFrame, path: str, part_col: str, mode: str = "overwrite") -> str:

@@ -1,19 +1,16 @@
 """Incremental maintenance of stored tables without a transactional table format.
 
-Parquet cannot be overwritten while it is being read, so every edit writes a new version
-folder and returns it; the caller swaps its pointer to the new version. Each step is a
-distributed anti join + union (or a per-key ``max_by`` aggregate), never a driver loop.
+These functions give the edited table as a DataFrame: a distributed anti join + union, or a
+per-key ``max`` aggregate. Parquet cannot be overwritten while it is being read; ``versions``
+stores the result of an upsert as a new version of a table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from terrace.operators.sinks import write_parquet
-
 
 def upsert_delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete target rows whose key appears in the batch, then insert the batch."""
@@ -21,14 +18,6 @@ def upsert_delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str
     return keep.unionByName(batch)
 
 
-def upsert_to_new_version(target_path: str, batch: DataFrame, keys: Sequence[str], new_path: str) -> str:
-    """Apply ``upsert_delete_insert`` to the stored table and write the result as a new version."""
-    spark = batch.sparkSession
-    merged = upsert_delete_insert(spark.read.parquet(target_path), batch, keys)
-    write_parquet(merged, new_path)
-    return new_path
-
-
 def dedup_replacing(df: DataFrame, keys: Sequence[str], version: str, sequence: Sequence[str | Column] = ()) -> DataFrame:
     """Keep the row with the highest ``version`` per key (a replacing-merge). Of equal versions
     the one inserted last by ``sequence`` stays (see ``insertion_sequence``), of those the
@@ -72,29 +61,3 @@ def dml_update(table: DataFrame, predicate: Column, assignments: Mapping[str, Co
 def dml_delete(table: DataFrame, predicate: Column) -> DataFrame:
     """DELETE WHERE predicate; rows where the predicate is NULL are kept."""
     return table.where(~F.coalesce(predicate, F.lit(False)))
-
-
-def run_layers(layers: Sequence[tuple[str, Mapping[str, callable]]], write, read, threads: int = 4) -> list[tuple]:
-    """Run the layers in order (silver, then gold); the models of one layer are independent
-    and run as concurrent Spark jobs from a small thread pool. A failure stops the run before
-    the next layer.
-
-    ``write(layer, name, df) -> path`` stores a model, ``read(layer, name)`` gives it back to
-    later layers. Returns ``(layer, model, status, rows)`` tuples in the given model order.
-    """
-    def run_one(layer: str, name: str, build) -> tuple:
-        try:
-            write(layer, name, build())
-            return (layer, name, "ok", read(layer, name).count())
-        except Exception as e:  # noqa: BLE001 - reported; the next layer does not start
-            return (layer, name, f"error: {type(e).__name__}", None)
-
-    report: list[tuple] = []
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        for layer, models in layers:
-            futures = [pool.submit(run_one, layer, name, build) for name, build in models.items()]
-            results = [f.result() for f in futures]
-            report.extend(results)
-            if any(r[2] != "ok" for r in results):
-                break
-    return report

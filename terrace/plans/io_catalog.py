@@ -7,15 +7,16 @@ the oracle can check the values that went through the round trip.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terrace import oracle as O
 from terrace import schemas
+from terrace.operators import layers as R
 from terrace.operators import quality as Q
 from terrace.operators import sinks as K
 from terrace.operators import upsert as U
+from terrace.operators import versions as V
 from terrace.plans import cleaning as P, marts, star
 from terrace.plans.silver import SILVER_MODELS, SilverTables
 from terrace.registry import register
@@ -300,7 +301,8 @@ NOT_NULL_SQL = "\nUNION ALL ".join(
 @key("dq_not_null", NOT_NULL_SQL, *sorted({m for m, _ in NOT_NULL}))
 def dq_not_null(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return Q.suite([Q.dq_not_null(t[m], m, c) for m, c in NOT_NULL])
+    columns = {m: [c for x, c in NOT_NULL if x == m] for m, _ in NOT_NULL}
+    return Q.suite([Q.dq_checks(t[m], m, [("not_null", c, F.col(c).isNull()) for c in cs]) for m, cs in columns.items()])
 
 
 # Accepted order statuses and payment types of the source system.
@@ -349,14 +351,13 @@ SINGULAR_SQL = "\nUNION ALL ".join([
 @key("dq_singular", SINGULAR_SQL, "gold_dim_customers", "silver_fact_reviews", "gold_fct_orders")
 def dq_singular(spark, sf_dir):
     s = SilverTables(Tables(spark, sf_dir))
-    cust, fct = star.gold_dim_customers(s), star.gold_fct_orders(s)
-    return Q.suite([
-        Q.dq_singular(cust, "gold_dim_customers", "assert_positive_revenue", F.col("total_revenue") < 0),
-        Q.dq_singular(s["silver_fact_reviews"], "silver_fact_reviews", "assert_valid_review_score",
-                      (F.col("review_score") < 1) | (F.col("review_score") > 5)),
-        Q.dq_singular(fct, "gold_fct_orders", "assert_customer_not_null", F.col("customer_id").isNull()),
-        Q.dq_singular(fct, "gold_fct_orders", "assert_positive_order_value", F.col("total_order_value") <= 0),
-    ])
+    tests = {"gold_dim_customers": [("assert_positive_revenue", "", F.col("total_revenue") < 0)],
+             "silver_fact_reviews": [("assert_valid_review_score", "", (F.col("review_score") < 1) | (F.col("review_score") > 5))],
+             "gold_fct_orders": [("assert_customer_not_null", "", F.col("customer_id").isNull()),
+                                 ("assert_positive_order_value", "", F.col("total_order_value") <= 0)]}
+    models = {"gold_dim_customers": star.gold_dim_customers(s), "silver_fact_reviews": s["silver_fact_reviews"],
+              "gold_fct_orders": star.gold_fct_orders(s)}
+    return Q.suite([Q.dq_checks(models[m], m, checks) for m, checks in tests.items()])
 
 
 FRESHNESS_NOW = "2001-08-03 12:00:00"
@@ -398,9 +399,10 @@ def upsert_delete_insert(spark, sf_dir):
     raw = Tables(spark, sf_dir)
     first_run = _fct(_orders_window(raw, 30, newer=False))   # the table as an earlier run left it
     batch = _fct(_orders_window(raw, 40, newer=True))        # the new run overlaps it by ten days
-    v0 = K.write_parquet(first_run, scratch_path(spark, "fct-v0"))
-    v1 = U.upsert_to_new_version(v0, batch, ["order_id"], scratch_path(spark, "fct-v1"))
-    return spark.read.parquet(v1)
+    root = scratch_path(spark, "fct")
+    V.create(first_run, root, ["order_id"])
+    V.upsert(batch, root, ["order_id"])
+    return V.read(spark, root)
 
 
 @key("dedup_replacing", "SELECT * EXCLUDE (payment_types_text) REPLACE (array_to_string(payment_types, ',') AS payment_types) "
@@ -460,22 +462,24 @@ def dml_delete(spark, sf_dir):
 LAYER_MODELS = ("gold_dim_customers", "gold_dim_products", "gold_dim_sellers", "gold_fct_orders")
 
 
-class LayerReader(Mapping):
-    """Read-only mapping ``model name -> stored DataFrame`` of one layer."""
+# Sort keys of the stored models, as the source's models declare them.
+SORT_KEYS = {"silver_dim_customers": ["customer_id"], "silver_dim_sellers": ["seller_id"], "silver_dim_products": ["product_id"],
+             "silver_fact_orders": ["order_id"], "silver_fact_order_items": ["order_id", "order_item_id"],
+             "silver_fact_payments": ["order_id", "payment_sequential"], "silver_fact_reviews": ["review_id"],
+             "gold_dim_customers": ["customer_id"], "gold_dim_products": ["product_id"], "gold_dim_sellers": ["seller_id"]}
+STAR_NEEDS = {"gold_dim_customers": ["silver_dim_customers", "silver_fact_orders", "silver_fact_payments", "silver_fact_reviews"],
+              "gold_dim_products": ["silver_dim_products", "silver_fact_order_items"],
+              "gold_dim_sellers": ["silver_dim_sellers", "silver_fact_order_items", "silver_fact_reviews"],
+              "gold_fct_orders": ["silver_fact_orders", "silver_fact_order_items", "silver_fact_payments", "silver_fact_reviews"]}
 
-    def __init__(self, read, layer: str, names):
-        self.read, self.layer, self.names = read, layer, tuple(names)
 
-    def __getitem__(self, name: str) -> DataFrame:
-        if name not in self.names:
-            raise KeyError(name)
-        return self.read(self.layer, name)
-
-    def __iter__(self):
-        return iter(self.names)
-
-    def __len__(self) -> int:
-        return len(self.names)
+def layer_models(raw) -> list[R.Model]:
+    """The silver models over the raw tables and the star schema over the stored silver tables;
+    the order fact is incremental by ``order_id``."""
+    silver = [R.Model("silver", n, lambda _, n=n: SILVER_MODELS[n](raw), sort_keys=SORT_KEYS[n]) for n in SILVER_MODELS]
+    gold = [R.Model("gold", n, star.STAR_MODELS[n], needs=STAR_NEEDS[n], sort_keys=SORT_KEYS.get(n, ()),
+                    unique_key=["order_id"] if n == "gold_fct_orders" else ()) for n in LAYER_MODELS]
+    return [*silver, *gold]
 
 
 @key("run_layers", "\nUNION ALL ".join(
@@ -483,21 +487,8 @@ class LayerReader(Mapping):
     + [f"SELECT 'gold' AS layer, '{m}' AS model, 'ok' AS status, COUNT(*) AS rows FROM {m}" for m in LAYER_MODELS]),
     *SILVER_MODELS, *LAYER_MODELS)
 def run_layers(spark, sf_dir):
-    raw = Tables(spark, sf_dir)
-    base = scratch_path(spark, "layers")
-
-    def write(layer, name, df):
-        return K.write_parquet(df, K.layer_path(base, layer, name))
-
-    def read(layer, name):
-        return spark.read.parquet(K.layer_path(base, layer, name))
-
-    # Gold models read the *stored* silver tables, as a layered run does.
-    stored_silver = LayerReader(read, "silver", SILVER_MODELS)
-    silver_models = {n: (lambda n=n: SILVER_MODELS[n](raw)) for n in SILVER_MODELS}
-    gold_models = {n: (lambda n=n: star.STAR_MODELS[n](stored_silver)) for n in LAYER_MODELS}
-    report = U.run_layers([("silver", silver_models), ("gold", gold_models)], write, read)
-    return spark.createDataFrame(report, "layer string, model string, status string, rows bigint")
+    report = R.run(spark, scratch_path(spark, "layers"), layer_models(Tables(spark, sf_dir)))
+    return spark.createDataFrame(report, R.REPORT)
 
 
 # ====================================================================== cleaning jobs (P1-P5)

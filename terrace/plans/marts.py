@@ -21,7 +21,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from terrace.functions.aggregates import distinct_counts, join_on_keys
+from terrace.functions.aggregates import counts_and_sums, distinct_counts, join_on_keys
 from terrace.functions.joins import left_join_many
 from terrace.functions.exprs import (
     elapsed_days, hours_between, integer_ratio, not_canceled, not_canceled_keep_null, round2, safe_ratio,
@@ -63,9 +63,15 @@ def weighted_items(t: Tables) -> DataFrame:
     an item of a valid order with k reviews stands for k rows (k >= 1), any other item for
     one row carrying NULL review columns.
     """
+    return _with_review_weight(t["fact_order_item"], t)
+
+
+def _with_review_weight(rows: DataFrame, t: Tables) -> DataFrame:
+    """Rows with an ``order_id`` joined to the review sums of their order, if it is valid, with
+    the fan-out weight ``w``."""
     reviewed = (review_stats_per_order(t["fact_order_review"])
                 .join(valid_orders(t).select("order_id"), "order_id", "left_semi"))
-    return (t["fact_order_item"].join(reviewed, "order_id", "left")
+    return (rows.join(reviewed, "order_id", "left")
             .withColumn("w", F.greatest(F.coalesce("rv_rows", F.lit(0)), F.lit(1))))
 
 
@@ -181,10 +187,20 @@ def gold_customer_ltv(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- G4
 def gold_seller_performance(t: Tables) -> DataFrame:
-    # The distinct counts do not depend on the review weights: take them from the raw items.
-    counts = distinct_counts(t["fact_order_item"], ["seller_id"], {"n_orders": "order_id", "n_products": "product_id"})
-    per_seller = join_on_keys(weighted_items(t).groupBy("seller_id").agg(*_weighted_measures()), counts,
-                              ["seller_id"])
+    """Per seller, over the review fan-out. An order has one review weight, so items are first
+    reduced to one row per (seller, order); the orders of a seller are then a plain count."""
+    items = t["fact_order_item"]
+    seller_orders = items.groupBy("seller_id", "order_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("order_item_id").alias("units"), F.sum("price").alias("p"),
+        F.count("price").alias("p_n"), F.sum("freight_value").alias("f"))
+    w, n = F.col("w"), F.col("n")
+    sums = _with_review_weight(seller_orders, t).groupBy("seller_id").agg(
+        F.count("order_id").alias("n_orders"), F.sum(F.col("units") * w).alias("units"),
+        F.sum(F.col("p") * w).alias("revenue"),
+        F.try_divide(F.sum(F.col("p") * w), F.sum(F.when(F.col("p_n") > 0, F.col("p_n") * w))).alias("avg_price"),
+        F.sum(F.col("f") * w).alias("freight"),
+        F.try_divide(F.sum(F.col("rv_sum") * n).cast("double"), F.sum(F.col("rv_cnt") * n).cast("double")).alias("avg_review"))
+    per_seller = join_on_keys(sums, distinct_counts(items, ["seller_id"], {"n_products": "product_id"}), ["seller_id"])
     return (t["dim_seller"].join(per_seller, "seller_id", "left")
             .select("seller_id", "seller_city", "seller_state",
                     F.coalesce("n_orders", F.lit(0)).alias("total_orders_served"),
@@ -243,6 +259,22 @@ def gold_review_analysis(t: Tables) -> DataFrame:
 
 
 # ---------------------------------------------------------------- G7
+def delivery_measures() -> dict:
+    """Hours and delivery status of an order, by output name."""
+    dcd, est = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
+    return {
+        "approval_hours": hours_between("order_approved_at", "order_purchase_timestamp"),
+        "fulfillment_hours": hours_between("order_delivered_customer_date", "order_purchase_timestamp"),
+        "delivery_vs_estimate_hours": hours_between("order_delivered_customer_date", "order_estimated_delivery_date"),
+        "delivery_status": F.when(dcd > est, "Late").when(dcd.isNotNull(), "On Time").otherwise("Not Delivered")}
+
+
+def fulfilled_orders(t: Tables) -> DataFrame:
+    """Valid orders with their delivery measures: the fulfillment mart before its items, sellers
+    and customers, for queries that need none of them."""
+    return valid_orders(t).select("order_id", *[c.alias(n) for n, c in delivery_measures().items()])
+
+
 def gold_order_fulfillment(t: Tables) -> DataFrame:
     """Order x item grain. The seller lookup is joined to the items before they meet the
     orders (equivalent: the seller predicate only references item columns)."""
@@ -251,14 +283,10 @@ def gold_order_fulfillment(t: Tables) -> DataFrame:
     i = (t["fact_order_item"].select("order_id", "seller_id")
          .join(t["dim_seller"].select("seller_id", "seller_city", "seller_state"), "seller_id", "left"))
     j = left_join_many(o, i, ["order_id"])
-    dcd, est = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
     return j.select(
         "order_id", "order_status", "order_purchase_timestamp", "order_approved_at",
         "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
-        hours_between("order_approved_at", "order_purchase_timestamp").alias("approval_hours"),
-        hours_between("order_delivered_customer_date", "order_purchase_timestamp").alias("fulfillment_hours"),
-        hours_between("order_delivered_customer_date", "order_estimated_delivery_date").alias("delivery_vs_estimate_hours"),
-        F.when(dcd > est, "Late").when(dcd.isNotNull(), "On Time").otherwise("Not Delivered").alias("delivery_status"),
+        *[c.alias(n) for n, c in delivery_measures().items()],
         "customer_city", "customer_state", "seller_city", "seller_state")
 
 
@@ -291,13 +319,13 @@ def daily_orders(t: Tables) -> DataFrame:
     dates are taken from the orders side."""
     o = valid_orders(t).select("order_id", "customer_id", F.to_date("order_purchase_timestamp").alias("order_date"))
     i = t["fact_order_item"].select("order_id", "order_item_id", "product_id", "price", "freight_value")
-    matched = o.select("order_id", "order_date").join(i, "order_id", "inner")
-    item_measures = join_on_keys(
-        matched.groupBy("order_date").agg(
-            round2(F.sum("price")).alias("revenue"), round2(F.sum("freight_value")).alias("freight"),
-            F.count("order_item_id").alias("items_sold")),
-        distinct_counts(matched, ["order_date"], {"unique_products": "product_id"}), ["order_date"])
-    per_date = join_on_keys(distinct_counts(o, ["order_date"], {"orders": "order_id", "unique_customers": "customer_id"}),
+    # One join; a (date, product) row carries the sums, and a date's products are then a count.
+    per_product = (o.select("order_id", "order_date").join(i, "order_id", "inner").groupBy("order_date", "product_id").agg(
+        F.sum("price").alias("p"), F.sum("freight_value").alias("f"), F.count("order_item_id").alias("n")))
+    item_measures = per_product.groupBy("order_date").agg(
+        round2(F.sum("p")).alias("revenue"), round2(F.sum("f")).alias("freight"),
+        F.sum("n").alias("items_sold"), F.count("product_id").alias("unique_products"))
+    per_date = join_on_keys(counts_and_sums(o, ["order_date"], {"orders": "order_id", "unique_customers": "customer_id"}, {}),
                             item_measures, ["order_date"], "left")
     return per_date.select("order_date", "orders", "unique_customers", "revenue", "freight",
                            F.coalesce("items_sold", F.lit(0)).alias("items_sold"),

@@ -89,8 +89,8 @@ def filter_not_in_keep_null(t):
 SELECT order_id, delivery_status FROM gold_order_fulfillment WHERE delivery_status IN ('On Time', 'Late')""",
       "gold_order_fulfillment")
 def filter_in(t):
-    return (marts.gold_order_fulfillment(t).where(F.col("delivery_status").isin("On Time", "Late"))
-            .select("order_id", "delivery_status"))
+    o = marts.fulfilled_orders(t).where(F.col("delivery_status").isin("On Time", "Late")).select("order_id", "delivery_status")
+    return left_join_many(o, t["fact_order_item"].select("order_id", "order_item_id"), ["order_id"]).select("order_id", "delivery_status")
 
 
 @prim("filter_bool", "SELECT order_id, order_status FROM silver_fact_orders WHERE NOT is_canceled",
@@ -216,11 +216,13 @@ def join_left_on_residual(t):
 
 
 @prim("join_inner", """
-SELECT oi.order_id, oi.order_item_id, o.order_status FROM fact_order_item oi JOIN fact_order o ON oi.order_id = o.order_id""",
-      "fact_order_item", "fact_order")
+SELECT r.review_id, r.order_id, r.review_score, oi.order_item_id, oi.seller_id
+FROM fact_order_review r JOIN fact_order_item oi ON r.order_id = oi.order_id""",
+      "fact_order_review", "fact_order_item")
 def join_inner(t):
-    return (t["fact_order_item"].select("order_id", "order_item_id")
-            .join(t["fact_order"].select("order_id", "order_status"), "order_id", "inner"))
+    return (t["fact_order_review"].select("review_id", "order_id", "review_score")
+            .join(t["fact_order_item"].select("order_id", "order_item_id", "seller_id"), "order_id", "inner")
+            .select("review_id", "order_id", "review_score", "order_item_id", "seller_id"))
 
 
 @prim("join_inner_keylist", """

@@ -13,7 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from terrace.functions.aggregates import distinct_counts, join_on_keys
+from terrace.functions.aggregates import counts_and_sums, distinct_counts, join_on_keys
 from terrace.functions.exprs import boundary_days, round2
 
 Silver = Mapping[str, DataFrame]
@@ -38,42 +38,37 @@ def reviews_per_order(s: Silver) -> DataFrame:
 
 
 def items_per_order(s: Silver) -> DataFrame:
-    """Item aggregates per order. The sums ride on the (order, line number) pass that also
-    yields the distinct line count; product and seller counts come from ``distinct_counts``
-    (narrow parallel scans instead of one scan expanding every row four times)."""
-    items = s["silver_fact_order_items"]
-    per_line = items.groupBy("order_id", "order_item_id").agg(
-        F.sum("price").alias("p"), F.sum("freight_value").alias("f"),
-        F.sum(F.col("price") + F.col("freight_value")).alias("pf"))
-    sums = per_line.groupBy("order_id").agg(
-        F.count("order_item_id").alias("item_count"),
-        F.sum("p").alias("total_price"),
-        F.sum("f").alias("total_freight"),
-        F.sum("pf").alias("total_order_value"))
-    counts = distinct_counts(items, ["order_id"], {"unique_products": "product_id", "unique_sellers": "seller_id"})
-    return join_on_keys(sums, counts, ["order_id"])
+    """Item aggregates per order, from one scan of the items."""
+    return counts_and_sums(
+        s["silver_fact_order_items"], ["order_id"],
+        {"item_count": "order_item_id", "unique_products": "product_id", "unique_sellers": "seller_id"},
+        {"total_price": "price", "total_freight": "freight_value", "total_order_value": F.col("price") + F.col("freight_value")})
+
+
+def orders_by_customer(s: Silver) -> DataFrame:
+    """One row per (order, customer): order rows, status flags and first and last purchase. The
+    rows are shuffled by ``order_id`` alone, so joins of order-grain tables need no second
+    exchange of the orders, and an order that occurs twice still counts as one."""
+    return (s["silver_fact_orders"].select("order_id", "customer_id", "is_delivered", "is_canceled", "order_purchase_timestamp")
+            .repartition("order_id").groupBy("order_id", "customer_id").agg(
+                F.count(F.lit(1)).alias("n_rows"), F.max("is_delivered").alias("is_delivered"),
+                F.max("is_canceled").alias("is_canceled"), F.min("order_purchase_timestamp").alias("first_ts"),
+                F.max("order_purchase_timestamp").alias("last_ts")))
 
 
 # ---------------------------------------------------------------- D1
 def gold_dim_customers(s: Silver) -> DataFrame:
     pay = payments_per_order(s).select("order_id", "total_payment")
     rev = reviews_per_order(s).select("order_id", "avg_review_score")
-    details = (s["silver_fact_orders"]
-               .select("order_id", "customer_id", "is_delivered", "is_canceled", "order_purchase_timestamp")
-               .join(pay, "order_id", "left").join(rev, "order_id", "left")
-               .select("order_id", "customer_id", "is_delivered", "is_canceled", "order_purchase_timestamp",
-                       F.coalesce("total_payment", F.lit(0.0)).alias("total_payment"),
-                       F.coalesce("avg_review_score", F.lit(0.0)).alias("avg_review_score")))
-    counts = distinct_counts(s["silver_fact_orders"], ["customer_id"], {
-        "total_orders": "order_id",
-        "delivered_orders": F.when(F.col("is_delivered"), F.col("order_id")),
-        "canceled_orders": F.when(F.col("is_canceled"), F.col("order_id"))})
-    sums = details.groupBy("customer_id").agg(
-        F.sum("total_payment").alias("total_revenue"),
-        F.avg("avg_review_score").alias("avg_review_score"),
-        F.min("order_purchase_timestamp").alias("first_order_date"),
-        F.max("order_purchase_timestamp").alias("last_order_date"))
-    per_customer = join_on_keys(counts, sums, ["customer_id"])
+    n, order = F.col("n_rows"), F.col("order_id")
+    per_customer = (orders_by_customer(s).join(pay, "order_id", "left").join(rev, "order_id", "left")
+                    .groupBy("customer_id").agg(
+        F.count("order_id").alias("total_orders"),
+        F.count(F.when(F.col("is_delivered"), order)).alias("delivered_orders"),
+        F.count(F.when(F.col("is_canceled"), order)).alias("canceled_orders"),
+        F.sum(F.coalesce("total_payment", F.lit(0.0)) * n).alias("total_revenue"),
+        (F.sum(F.coalesce("avg_review_score", F.lit(0.0)) * n) / F.sum(n)).alias("avg_review_score"),
+        F.min("first_ts").alias("first_order_date"), F.max("last_ts").alias("last_order_date")))
     c = s["silver_dim_customers"].join(per_customer, "customer_id", "left")
     total = F.coalesce("total_orders", F.lit(0))
     first, last = F.col("first_order_date"), F.col("last_order_date")
@@ -92,10 +87,8 @@ def gold_dim_customers(s: Silver) -> DataFrame:
 
 # ---------------------------------------------------------------- D2
 def gold_dim_products(s: Silver) -> DataFrame:
-    items = s["silver_fact_order_items"]
-    per_product = join_on_keys(
-        items.groupBy("product_id").agg(F.sum("price").alias("revenue"), F.sum("freight_value").alias("freight")),
-        distinct_counts(items, ["product_id"], {"n_orders": "order_id", "n_sellers": "seller_id"}), ["product_id"])
+    per_product = counts_and_sums(s["silver_fact_order_items"], ["product_id"], {"n_orders": "order_id", "n_sellers": "seller_id"},
+                                  {"revenue": "price", "freight": "freight_value"})
     return (s["silver_dim_products"].join(per_product, "product_id", "left")
             .select("product_id", "product_category_name", "product_category_english", "product_weight_g",
                     "product_length_cm", "product_height_cm", "product_width_cm",
@@ -109,22 +102,22 @@ def gold_dim_products(s: Silver) -> DataFrame:
 def gold_dim_sellers(s: Silver) -> DataFrame:
     """Per seller. The review average is item-weighted: the SQL joins reviews to items on
     ``order_id``, so each review counts once per item the seller has in that order. Items are
-    reduced to (order, seller) counts and reviews to order sums before that join."""
+    reduced to one row per (seller, order), which gives the order count and the sums as well,
+    and reviews to order sums before that join."""
     items = s["silver_fact_order_items"]
-    per_seller = join_on_keys(
-        items.groupBy("seller_id").agg(F.sum("price").alias("revenue"), F.sum("freight_value").alias("freight")),
-        distinct_counts(items, ["seller_id"], {"n_orders": "order_id", "n_products": "product_id"}), ["seller_id"])
-    seller_orders = items.groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("n_items"))
+    seller_orders = items.groupBy("seller_id", "order_id").agg(
+        F.count(F.lit(1)).alias("n_items"), F.sum("price").alias("p"), F.sum("freight_value").alias("f"))
     rv = s["silver_fact_reviews"].groupBy("order_id").agg(
         F.sum("review_score").alias("rv_sum"), F.count("review_score").alias("rv_cnt"),
         F.count("review_id").alias("rv_ids"))
     n = F.col("n_items")
-    per_seller_reviews = (seller_orders.join(rv, "order_id", "inner").groupBy("seller_id").agg(
+    sums = seller_orders.join(rv, "order_id", "left").groupBy("seller_id").agg(
+        F.count("order_id").alias("n_orders"), F.sum("p").alias("revenue"), F.sum("f").alias("freight"),
         round2(F.try_divide(F.sum(F.col("rv_sum") * n).cast("double"), F.sum(F.col("rv_cnt") * n).cast("double")))
         .alias("avg_review"),
-        F.sum(F.col("rv_ids") * n).alias("n_reviews")))
+        F.sum(F.col("rv_ids") * n).alias("n_reviews"))
+    per_seller = join_on_keys(sums, distinct_counts(items, ["seller_id"], {"n_products": "product_id"}), ["seller_id"])
     return (s["silver_dim_sellers"].join(per_seller, "seller_id", "left")
-            .join(per_seller_reviews, "seller_id", "left")
             .select("seller_id", "seller_city", "seller_state",
                     F.coalesce("n_orders", F.lit(0)).alias("total_orders"),
                     F.coalesce("revenue", F.lit(0.0)).alias("total_revenue"),
@@ -168,11 +161,12 @@ def int_order_details(s: Silver) -> DataFrame:
 
 
 def int_customer_orders(s: Silver) -> DataFrame:
-    d = int_order_details(s).groupBy("customer_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.sum("total_order_value").alias("total_revenue"),
-        F.min("order_purchase_timestamp").alias("first_order_date"),
-        F.max("order_purchase_timestamp").alias("last_order_date"))
+    value = s["silver_fact_order_items"].groupBy("order_id").agg(F.sum(F.col("price") + F.col("freight_value")).alias("v"))
+    d = orders_by_customer(s).join(value, "order_id", "left").groupBy("customer_id").agg(
+        F.count("order_id").alias("total_orders"),
+        F.sum(F.col("v") * F.col("n_rows")).alias("total_revenue"),
+        F.min("first_ts").alias("first_order_date"),
+        F.max("last_ts").alias("last_order_date"))
     return (s["silver_dim_customers"].join(d, "customer_id", "left")
             .select("customer_id", "customer_unique_id", "customer_city", "customer_state",
                     F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
