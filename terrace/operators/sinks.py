@@ -48,8 +48,9 @@ def create_table_as(spark: SparkSession, database: str, table: str, location: st
                     database_location: str | None = None) -> DataFrame:
     """``CREATE DATABASE IF NOT EXISTS db; DROP TABLE IF EXISTS db.t; CREATE TABLE db.t USING
     parquet LOCATION ... AS SELECT``. Both locations are explicit, so nothing lands in a
-    machine-local warehouse folder."""
-    db_loc = database_location or location.rstrip("/") + f"_{database}.db"
+    machine-local warehouse folder; the database lies where its tables do, in the layer's folder
+    (the parent of ``location``), unless ``database_location`` names another."""
+    db_loc = database_location or location.rstrip("/").rpartition("/")[0]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{db_loc}'")
     view = f"_ctas_{table}"
     query_df.createOrReplaceTempView(view)
@@ -102,14 +103,20 @@ def write_partitioned_by_month(df: DataFrame, path: str, ts_col: str, part_col:
     return write_rebalanced(df.withColumn(part_col, year_month(ts_col)), path, part_col)
 
 
-def write_with_csv_fallback(df: DataFrame, path: str) -> tuple[str, str]:
-    """Write Parquet; if that fails, write CSV at ``path + '_csv'``. Returns (format, path)."""
+def write_with_csv_fallback(df: DataFrame, path: str, compression: str | None = None) -> tuple[str, str]:
+    """Write Parquet (with a codec, if given); if that fails, for want of the codec's library for
+    instance, write CSV at ``path + '_csv'``. Returns (format, path). The CSV keeps line breaks,
+    quotes and outer blanks: ``readers.read_csv(..., multiline=True, keep_empty=True)`` gives the same rows."""
     try:
-        write_parquet(df, path)
+        if compression is None:
+            write_parquet(df, path)
+        else:
+            df.write.mode("overwrite").option("compression", compression).parquet(path)
         return "parquet", path
     except Exception:  # noqa: BLE001 - any writer failure falls back
         csv_path = path + "_csv"
-        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(csv_path)
+        (df.write.mode("overwrite").option("header", True).option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(csv_path))
         return "csv", csv_path
 
 

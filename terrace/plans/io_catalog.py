@@ -20,7 +20,7 @@ from terrace.operators import versions as V
 from terrace.plans import cleaning as P, marts, star
 from terrace.plans.silver import SILVER_MODELS, SilverTables
 from terrace.registry import register
-from terrace.session import scratch_path
+from terrace.session import ensure_checkpoint_dir, scratch_path
 from terrace.sources import landing as L
 from terrace.sources import readers as S
 from terrace.sources.fixtures import Tables, read_base
@@ -161,14 +161,17 @@ def src_seed_csv(spark, sf_dir):
         seed, "product_category_name", "left").select("product_id", "product_category_name_english")
 
 
-@key("catalog_tables", "SELECT * FROM (VALUES " + ", ".join(f"('{m}')" for m in SILVER_MODELS) + ") v(model)")
+@key("catalog_tables", "\nUNION ALL ".join(f"SELECT '{m}' AS model, COUNT(*) AS rows FROM {m}" for m in SILVER_MODELS),
+     *SILVER_MODELS)
 def catalog_tables(spark, sf_dir):
+    """The models that the session catalog lists, with the rows of each."""
     s = SilverTables(Tables(spark, sf_dir))
     tag = uuid.uuid4().hex[:8]
     for name in SILVER_MODELS:
         s[name].createOrReplaceTempView(f"l{tag}_{name}")
-    listed = S.catalog_tables(spark, f"l{tag}_silver_*")
-    return listed.select(F.regexp_replace("tableName", f"^l{tag}_", "").alias("model"))
+    listed = [r.tableName for r in S.catalog_tables(spark, f"l{tag}_silver_*").collect()]
+    counts = [spark.table(v).agg(F.lit(v.removeprefix(f"l{tag}_")).alias("model"), F.count(F.lit(1)).alias("rows")) for v in listed]
+    return Q.suite(counts)
 
 
 # ====================================================================== sinks
@@ -200,8 +203,8 @@ def sink_append_batches(spark, sf_dir):
 @key("sink_ctas", "SELECT * FROM gold_review_analysis", "gold_review_analysis")
 def sink_ctas(spark, sf_dir):
     name = f"review_analysis_{uuid.uuid4().hex[:8]}"
-    return K.create_table_as(spark, "gold", name, scratch_path(spark, f"gold-{name}"),
-                             marts.gold_review_analysis(Tables(spark, sf_dir)))
+    location = K.layer_path(f"{ensure_checkpoint_dir(spark)}/terrace/warehouse", "gold", name)
+    return K.create_table_as(spark, "gold", name, location, marts.gold_review_analysis(Tables(spark, sf_dir)))
 
 
 @key("normalize_types", """
@@ -248,8 +251,13 @@ def ingest_report(spark, sf_dir):
 @key("sink_fallback_csv", "SELECT * FROM gold_seller_performance", "gold_seller_performance")
 def sink_fallback_csv(spark, sf_dir):
     df = marts.gold_seller_performance(Tables(spark, sf_dir))
-    fmt, path = K.write_with_csv_fallback(df, scratch_path(spark, "sellers"))
-    return spark.read.parquet(path) if fmt == "parquet" else spark.read.schema(df.schema).option("header", True).csv(path)
+    # Spark brings no LZO library: the Parquet write fails and the CSV one takes its place.
+    fmt, path = K.write_with_csv_fallback(df, scratch_path(spark, "sellers"), compression="lzo")
+    return _written(spark, fmt, path, df.schema)
+
+
+def _written(spark, fmt: str, path: str, schema) -> DataFrame:
+    return spark.read.parquet(path) if fmt == "parquet" else S.read_csv(spark, path, schema, multiline=True, keep_empty=True)
 
 
 MANUAL_SQL = """
@@ -561,8 +569,8 @@ SELECT doc_id AS author_id, source AS title, text AS body, length(text) AS body_
 WHERE source IS NOT NULL AND text IS NOT NULL AND length(text) > 50""")
 def posts_clean(spark, sf_dir):
     posts = P.posts_from_documents(read_base(spark, sf_dir, "documents"))
-    fmt, path = K.write_with_csv_fallback(P.posts_clean(posts), scratch_path(spark, "posts"))
-    return spark.read.parquet(path) if fmt == "parquet" else spark.read.option("header", True).csv(path)
+    clean = P.posts_clean(posts)
+    return _written(spark, *K.write_with_csv_fallback(clean, scratch_path(spark, "posts")), clean.schema)
 
 
 def _profile_sql(table_sql: str, cols: list[tuple[str, str]]) -> str:

@@ -45,12 +45,13 @@ MAX_RECORD = 16 * 1024 * 1024
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False,
-             max_partition_bytes: int | None = None, malformed: bool = False) -> DataFrame:
+             max_partition_bytes: int | None = None, malformed: bool = False, keep_empty: bool = False) -> DataFrame:
     """Header CSV with a declared schema. ``multiline``: quoted fields may hold line breaks (see
-    ``csv_records``; the file is still split). ``malformed`` adds the column ``_malformed``."""
+    ``csv_records``; the file is still split). ``malformed`` adds the column ``_malformed``. A
+    quoted empty field is NULL as an unquoted one is, unless ``keep_empty`` (with ``multiline``)."""
     want = T.StructType(schema.fields + [T.StructField(MALFORMED, T.StringType())])
     if multiline:
-        return _parsed(csv_records(spark, path), want if malformed else schema)
+        return _parsed(csv_records(spark, path), want if malformed else schema, keep_empty)
     r = spark.read.option("header", True).option("escape", '"').schema(want if malformed else schema)
     if malformed:  # a row is judged by all its columns, whatever is selected later
         r = r.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
@@ -59,8 +60,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bo
     return r.csv(path)
 
 
-def _parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
+def _parsed(records: DataFrame, schema: T.StructType, keep_empty: bool = False) -> DataFrame:
     options = {"escape": '"', "columnNameOfCorruptRecord": MALFORMED}
+    if keep_empty:
+        options["nullValue"] = "\u0000"  # what an unquoted empty field stands for
     row = F.from_csv("record", schema.simpleString()[len("struct<"):-1].replace(":", " "), options)
     out = records.select(row.alias("r"), "broken", "record").select("r.*", "broken", "record")
     if MALFORMED in schema.names:

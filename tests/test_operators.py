@@ -137,6 +137,15 @@ def test_sorted_and_partitioned_writes(spark, tmp_dir):
     assert spark.read.parquet(s).count() == 100
 
 
+def test_csv_fallback_keeps_texts(spark, tmp_dir):
+    rows = [(1, 'two\nlines, "quoted"', " outer ", None), (2, "", "x", 1.5), (3, None, '"', -0.25)]
+    df = spark.createDataFrame(rows, "id long, body string, title string, v double")
+    fmt, path = K.write_with_csv_fallback(df, os.path.join(tmp_dir, "t"), compression="lzo")
+    assert fmt == "csv"
+    back = S.read_csv(spark, path, df.schema, multiline=True, keep_empty=True)
+    assert sorted(map(tuple, back.collect())) == rows
+
+
 def test_csv_fallback_when_parquet_fails(spark, tmp_dir, monkeypatch):
     def broken(*a, **k):
         raise OSError("parquet writer unavailable")
