@@ -15,8 +15,8 @@ phrases by joining neighbours:
   which the next length is made. A phrase can be frequent only if its two parts of k - 1 words
   are, so every frequent phrase is found with its exact count.
 
-Scores, cuts and containment are joins over the frequent phrases. Words of each language have
-exact numbers (1, 2, ... by frequency), and counts are exact; the score divides decimals.
+Scores, cuts and containment are joins over the frequent phrases. Each word of a language has
+a number of its own, so phrases are compared exactly, and counts are exact; the score divides decimals.
 
 Edge cases: a null text counts as empty, a null lang as 'und'. Ids are not read: repeated rows
 count as often as they occur. Ties in the score of cuts go to the shortest first part, ties in
@@ -34,7 +34,6 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from terrace.functions.stats import global_row_number
 from terrace.llm import common as C
 
 UNIT_CHARS = 8_000_000
@@ -223,13 +222,21 @@ def frequent_phrases(docs: DataFrame, max_words: int, min_count: int,
     base = C.stored_alone(occurrences(docs, unit_chars), "phrases-occurrences")
     totals = base.groupBy("lang").agg(F.sum("n").alias("n"))
     words = base.select("unit", "lang", "words", "codes").mapInArrow(unit_words, "lang string, word string, unit long, code int, n long")
-    f = F.sum("n").over(Window.partitionBy("lang", "word"))
-    held = C.stored_alone(words.withColumn("f", f).where(F.col("f") >= min_count).drop("n"), "phrases-words")
-    distinct = held.groupBy("lang", "word").agg(F.max("f").alias("f"))
-    names = C.stored_alone(global_row_number(distinct, [F.desc("f"), F.asc("lang"), F.asc("word")], "id")
-                           .withColumn("id", F.col("id").cast("long")), "phrases-names")
+    word = Window.partitionBy("lang", "word")
+    # The number of a word: the place of its first row among the frequent rows of its partition,
+    # which lie sorted by word, times the partitions, plus the partition.
+    place = F.monotonically_increasing_id()
+    conf = docs.sparkSession.conf
+    parts = max(int(conf.get(c, "1")) for c in ("spark.sql.shuffle.partitions",
+                                                "spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
+    spread = F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) * parts + F.shiftright("at", 33)
+    held = C.stored_alone(words.withColumn("f", F.sum("n").over(word)).where(F.col("f") >= min_count)
+                          .withColumn("at", place).withColumn("at", F.min("at").over(word))
+                          .select("lang", "word", "unit", "code", "f", spread.alias("id")), "phrases-words")
+    names = C.stored_alone(held.groupBy("id").agg(F.min("lang").alias("lang"), F.min("word").alias("word"), F.max("f").alias("f")),
+                           "phrases-names")
     found = names.select(F.array("id").alias("words"), "f")
-    back = C.join_measured(held.select("unit", "code", "lang", "word"), names.drop("f"), ["lang", "word"]).select("unit", "code", "id")
+    back = held.select("unit", "code", "id")
     relation = C.stored_alone(base.select("unit", "codes").groupBy("unit").cogroup(back.groupBy("unit"))
                               .applyInArrow(keep_words, "unit long, ids binary"), "phrases-r1")
     for k in range(2, max_words + 1):
@@ -255,7 +262,7 @@ def collocations(docs: DataFrame, max_words: int = 4, min_count: int = 30, top:
     parts = parts.select("*", F.slice("words", F.lit(1), F.col("k")).alias("head"),
                          F.slice("words", F.col("k") + 1, size - F.col("k")).alias("tail"))
     for name, count in (("head", "l"), ("tail", "r")):
-        parts = C.join_measured(parts, found.select(F.col("words").alias(name), F.col("f").alias(count)), name)
+        parts = parts.join(found.select(F.col("words").alias(name), F.col("f").alias(count)), name)
     score = F.expr("(CAST(a AS DECIMAL(20, 0)) * 2000000BD) div (CAST(l AS DECIMAL(20, 0)) + CAST(r AS DECIMAL(20, 0)))")
     cut = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut")
     scored = parts.groupBy("words", "a").agg(cut)
@@ -269,7 +276,7 @@ def collocations(docs: DataFrame, max_words: int = 4, min_count: int = 30, top:
     left = (scored.join(holders, "words", "left").where(F.col("longer").isNull() | ~covered)
             .select("words", "a", "cut.l", "cut.r", "cut.score"))
 
-    spelled = C.join_measured(left.select("*", F.posexplode("words").alias("pos", "id")), names, "id")
+    spelled = left.select("*", F.posexplode("words").alias("pos", "id")).join(names, "id")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), " ")
     rows = spelled.groupBy("words", "a", "l", "r", "score").agg(F.min("lang").alias("lang"), text.alias("phrase"))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
