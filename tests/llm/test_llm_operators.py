@@ -408,3 +408,22 @@ def test_rules(docs, empty):
         rest = mask & ~quality_rules.mask_of([name])
         assert full[name]["kept_without"] == led.where(F.col("failed").bitwiseAND(F.lit(rest).cast("long")) == 0).count()
     assert quality_rules.ledger(empty).count() == 0
+
+
+def test_line_dedup_tells_rows_of_one_id_apart(spark):
+    rng = random.Random(8)
+    shared, alone, other = (prose(rng, EN, 14).replace("\n", " ") for _ in range(3))
+    table = [(1, shared, 5), (2, alone + "\n" + shared, 6), (2, other + "\n" + prose(rng, DE, 15), 7), (None, shared, 8)]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in table], "doc_id long, text string, n_lines long, n_removed string, __removed string")
+    got = line_dedup.dedup_lines(docs)
+    assert got.columns == ["doc_id", "text", "__removed", "n_lines", "n_removed"]
+    want = [(1, shared, 1, 0), (2, alone, 2, 1), (2, table[2][1], 2, 0), (None, shared, 1, 0)]
+    assert sorted([(r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()], key=str) == sorted(want, key=str)
+
+
+def test_redaction_covers_null_and_repeated_ids(spark):
+    mail = "write to jo.doe@mail.example.com today"
+    docs = spark.createDataFrame([(None, mail), (7, mail), (7, "call +1 (017) 555-7713 now"), (7, mail), (8, None)], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in pii.redact(docs).collect()), key=str)
+    masked = "write to [PII] today"
+    assert got == sorted([(None, masked), (7, masked), (7, masked), (7, "call [PII] now"), (8, None)], key=str)
