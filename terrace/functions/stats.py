@@ -10,15 +10,17 @@ carried over in one border row per partition.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from terrace.functions.aggregates import join_on_keys
 from terrace.session import ensure_checkpoint_dir, materialize
 
+if TYPE_CHECKING:
+    import numpy as np
+    import pyarrow as pa
+
 #: Candidates among which a median is picked by sorting them, at most.
 CANDIDATES = 50_000
 
@@ -153,6 +155,10 @@ class _Numbers:
     @staticmethod
     def _changes(b: pa.RecordBatch, cols: list[str], last: dict | None) -> np.ndarray:
         """Whether a row differs in ``cols`` from the row before it; the first row of all does."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         out = np.zeros(b.num_rows, dtype=bool)
         for c in cols:
             v = b.column(b.schema.get_field_index(c))
@@ -166,6 +172,8 @@ class _Numbers:
 
     def _stream(self, batches: Iterator[pa.RecordBatch], rows_before: Callable[[int], tuple]) -> Iterator[tuple]:
         """(batch, row numbers, ranks, last row so far) of the batches of a partition."""
+        import numpy as np
+
         last, number, tie = None, 0, 0
         for b in batches:
             if not b.num_rows:
@@ -186,6 +194,8 @@ class _Numbers:
             yield b, numbers, ranks, last
 
     def border(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
         n, first, end = 0, None, None
         for b, numbers, ranks, _ in self._stream(batches, lambda pid: (0, 0)):
             plain = b.drop_columns(["_pid"])
@@ -198,6 +208,10 @@ class _Numbers:
                                   ["pid", "n", "key_run", "tie_run", "first", "last"])
 
     def rows(self, carried: dict[int, tuple]):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         def finish(b, numbers, ranks, after: dict | None, value):
             """Columns of a batch; ``after``: key of the row that follows it, ``value`` its lead."""
             cols = [b.column(b.schema.get_field_index(c)) for c in self.columns]

@@ -8,15 +8,17 @@ split by ``spark.sql.files.maxPartitionBytes``, CSV with line breaks inside quot
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from typing import TYPE_CHECKING
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from terrace import schemas
 from terrace.functions.exprs import epoch_to_local
 from terrace.session import materialize, path_exists
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 
 # ---------------------------------------------------------------- S1 / S2
 def read_json_envelope(spark: SparkSession, path: str, array_field: str = "products",
@@ -127,6 +129,9 @@ def _cut_records(max_record: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     """Cuts the lines of byte ranges, which come in order, into records. ``piece`` is NULL for a
     record that lies in its range, 0 for the end (or a middle part) of one that an earlier range
     began and 1 for the begin of one that a later range ends; ``closed`` tells if it ends here."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     names = ["file", "at", "piece", "record", "closed", "first", "broken"]
     types = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.bool_(), pa.string()]
 
@@ -187,6 +192,8 @@ def _cut_records(max_record: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
 
 def _spans(b: pa.RecordBatch) -> list[tuple[int, int]]:
     """The rows of each byte range in a batch."""
+    import pyarrow.compute as pc
+
     if all(len(pc.unique(b[c])) <= 1 for c in ("file", "at")):
         return [(0, b.num_rows)] if b.num_rows else []
     keys = list(zip(b["file"].to_pylist(), b["at"].to_pylist()))
