@@ -25,14 +25,14 @@ if TYPE_CHECKING:
 CANDIDATES = 50_000
 
 
-def exact_median(df: DataFrame, c: str | Column, limit: int = CANDIDATES, bounds: int = 128) -> DataFrame:
+def exact_median(df: DataFrame, c: str | Column, limit: int = CANDIDATES, buckets: int = 128) -> DataFrame:
     """One-row DataFrame ``median``: the exact median of the non-NULL values of ``c`` (NULL if
     there are none); for an even count the midpoint of the two middle values.
 
-    Rank selection in rounds. A quantile sketch gives ``bounds`` values; they cut the values
+    Rank selection in rounds. A quantile sketch gives ``buckets`` - 1 values; they cut the values
     into cells, the bounds themselves and the gaps between them, whose exact counts tell in
     which cell the middle ranks lie. A value that repeats often is a bound, so a gap holds about
-    1/``bounds`` of the values and each round leaves that much; it ends when a cell has one
+    1/``buckets`` of the values and each round leaves that much; it ends when a cell has one
     value, the two ranks lie in different cells (the largest and the least value of each are
     known), or at most ``limit`` candidates are left, which one task sorts. Each round sends
     one row per cell to the driver.
@@ -40,7 +40,7 @@ def exact_median(df: DataFrame, c: str | Column, limit: int = CANDIDATES, bounds
     x = F.col(c) if isinstance(c, str) else c
     spark = df.sparkSession
     vals = df.where(x.isNotNull()).select(x.alias("v"))
-    probs = [i / bounds for i in range(1, bounds)]
+    probs = [i / buckets for i in range(1, buckets)]
     n, cuts = vals.agg(F.count(F.lit(1)), F.percentile_approx("v", probs, 10_000)).first()
     if not n:
         return spark.range(1).select(F.lit(None).cast("double").alias("median"))

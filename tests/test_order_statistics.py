@@ -23,7 +23,7 @@ def test_median_of_hostile_columns(spark, limit):
                [float(i % 3) for i in range(2999)], [1e300, -1e300] * 600 + [0.0]]
     for values in columns:
         want = statistics.median([v for v in values if v is not None])
-        assert median(spark, values, limit=limit, bounds=16) == want, len(values)
+        assert median(spark, values, limit=limit, buckets=16) == want, len(values)
     assert median(spark, [None, None], limit=limit) is None and median(spark, [], limit=limit) is None
 
 
