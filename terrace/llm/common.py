@@ -29,11 +29,11 @@ def id_remainder(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write once below the shared scratch folder and read back: later steps neither repeat
-    the work nor depend on the executors that did it."""
+    the work nor depend on the executors that did it. ``options`` are those of the writer."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -41,13 +41,13 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored_alone(df: DataFrame, name: str) -> DataFrame:
-    """``stored``, after which Spark may drop the shuffle files of this write: for plans that
-    share no exchange with a later one."""
+    """``stored``, strongly compressed, after which Spark may drop the shuffle files of this
+    write: for plans that share no exchange with a later one."""
     conf = df.sparkSession.conf
     before = conf.get(CLEANUP, "false")
     conf.set(CLEANUP, "true")
     try:
-        return stored(df, name)
+        return stored(df, name, compression="zstd")
     finally:
         conf.set(CLEANUP, before)
 
