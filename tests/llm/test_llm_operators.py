@@ -324,6 +324,13 @@ def test_short_tokens_among_words(spark, planted):
     assert not any(got[10_000 + i]["found"] for i in range(300))
 
 
+@pytest.mark.parametrize("word", ["internationalization", "COUNTERREVOLUTIONARY"])
+def test_words_before_equal_signs(spark, word):
+    texts = [(1, f"{word}= 5"), (2, f"{word}== 5 and secret = abcdef"), (3, f"{word}")]
+    got = by_id(secrets.find_secrets(spark.createDataFrame(texts, "doc_id long, text string")))
+    assert [[tuple(s) for s in got[i]["base"]] for i in (1, 2, 3)] == [[], [(29, 0, 44)], []] == [[tuple(s) for s in got[i]["found"]] for i in (1, 2, 3)]
+
+
 # ------------------------------------------------------------------ 7
 def test_leaks(spark, docs, empty):
     rng = random.Random(4)
