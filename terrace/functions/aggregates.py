@@ -6,6 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from terrace.session import materialize
+
+#: Rows of a group that may meet in one task.
+GROUP_ROWS = 1_000_000
+
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where a NULL key matches a NULL key (group keys may be NULL)."""
@@ -52,3 +57,24 @@ def counts_and_sums(source: DataFrame, keys: Sequence[str], counts: Mapping[str,
     each = rows.groupBy(*keys, "i", "v").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(n).alias(n) for n in carried])
     return each.groupBy(*keys).agg(*[F.count(F.when(F.col("i") == i, F.col("v"))).alias(n) for i, n in enumerate(counts)],
                                    *[F.sum(n).alias(n) for n in carried])
+
+
+def small_group_counts_and_sums(source: DataFrame, keys: Sequence[str], counts: Mapping[str, str | Column],
+                                sums: Mapping[str, str | Column], group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``counts_and_sums`` for groups that are mostly small, as the items of an order: the rows of
+    a group meet in one shuffle of the columns in use, where ``counts_and_sums`` shuffles a row per
+    count, which small groups hardly reduce. Groups are counted first; those of more than
+    ``group_rows`` rows are spread by ``counts_and_sums``."""
+    keys = list(keys)
+    large = materialize(source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > group_rows).select(*keys))
+    small = source
+    if not large.isEmpty():
+        small = join_on_keys(source, large, keys, "left_anti")
+        spread = counts_and_sums(join_on_keys(source, large, keys, "left_semi"), keys, counts, sums)
+    column = lambda v: F.col(v) if isinstance(v, str) else v
+    rows = small.select(*keys, *[column(v).alias(f"_v{i}") for i, v in enumerate(counts.values())],
+                        *[column(v).cast("double").alias(f"_s{i}") for i, v in enumerate(sums.values())])
+    out = rows.repartition(*keys).groupBy(*keys).agg(
+        *[F.size(F.collect_set(f"_v{i}")).cast("long").alias(n) for i, n in enumerate(counts)],
+        *[F.sum(f"_s{i}").alias(n) for i, n in enumerate(sums)])
+    return out if small is source else out.unionByName(spread)

@@ -24,7 +24,7 @@ from terrace.session import ensure_checkpoint_dir, scratch_path
 from terrace.sources import landing as L
 from terrace.sources import readers as S
 from terrace.sources.fixtures import Tables, read_base
-from terrace.streaming.incremental import current_fact, land_orders_by_month
+from terrace.streaming.incremental import FACTS_BY_ORDER, current_fact, land_orders_by_month
 from terrace.streaming.incremental import stream_incremental_orders as run_order_stream
 
 
@@ -393,12 +393,17 @@ def _fct(raw) -> DataFrame:
 
 def _orders_window(raw, days: int, newer: bool) -> dict:
     """The raw tables with the order table cut at ``max(purchase) - days``; orders without a
-    purchase timestamp are on the older side."""
+    purchase timestamp are on the older side. Of the newer side, a small part of the orders, only
+    these orders' items, payments and reviews are kept."""
     o = raw["fact_order"]
     cut = o.agg(F.max("order_purchase_timestamp") - F.make_interval(days=F.lit(days))).scalar()
     scoped = {n: raw[n] for n in raw}
     ts = F.col("order_purchase_timestamp")
     scoped["fact_order"] = o.where(ts >= cut) if newer else o.where((ts < cut) | ts.isNull())
+    if newer:
+        ids = scoped["fact_order"].select("order_id").hint("shuffle_hash")
+        for name in FACTS_BY_ORDER:
+            scoped[name] = raw[name].join(ids, "order_id", "left_semi").select(raw[name].columns)
     return scoped
 
 

@@ -13,7 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from terrace.functions.aggregates import counts_and_sums, distinct_counts, join_on_keys
+from terrace.functions.aggregates import distinct_counts, join_on_keys, small_group_counts_and_sums
 from terrace.functions.exprs import boundary_days, round2
 
 Silver = Mapping[str, DataFrame]
@@ -38,8 +38,8 @@ def reviews_per_order(s: Silver) -> DataFrame:
 
 
 def items_per_order(s: Silver) -> DataFrame:
-    """Item aggregates per order, from one scan of the items."""
-    return counts_and_sums(
+    """Item aggregates per order, from one shuffle of the items."""
+    return small_group_counts_and_sums(
         s["silver_fact_order_items"], ["order_id"],
         {"item_count": "order_item_id", "unique_products": "product_id", "unique_sellers": "seller_id"},
         {"total_price": "price", "total_freight": "freight_value", "total_order_value": F.col("price") + F.col("freight_value")})
@@ -87,8 +87,8 @@ def gold_dim_customers(s: Silver) -> DataFrame:
 
 # ---------------------------------------------------------------- D2
 def gold_dim_products(s: Silver) -> DataFrame:
-    per_product = counts_and_sums(s["silver_fact_order_items"], ["product_id"], {"n_orders": "order_id", "n_sellers": "seller_id"},
-                                  {"revenue": "price", "freight": "freight_value"})
+    per_product = small_group_counts_and_sums(s["silver_fact_order_items"], ["product_id"], {"n_orders": "order_id", "n_sellers": "seller_id"},
+                                              {"revenue": "price", "freight": "freight_value"})
     return (s["silver_dim_products"].join(per_product, "product_id", "left")
             .select("product_id", "product_category_name", "product_category_english", "product_weight_g",
                     "product_length_cm", "product_height_cm", "product_width_cm",
