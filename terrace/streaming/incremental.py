@@ -102,7 +102,7 @@ def stream_incremental_orders(spark: SparkSession, raw: Mapping[str, DataFrame],
         # Fact rows for the batch's orders, from the silver layer with the batch as order source.
         scoped = dict(raw)
         scoped["fact_order"] = _one_per_order(batch.drop("ym"))
-        ids = batch.select("order_id").distinct()
+        ids = batch.select("order_id").distinct().hint("shuffle_hash")  # hashed: the facts stream past unsorted
         for name in FACTS_BY_ORDER:  # only the batch's orders are aggregated
             scoped[name] = raw[name].join(ids, "order_id", "left_semi").select(raw[name].columns)
         fact = star.gold_fct_orders(silver.SilverTables(scoped)).withColumns({"ym": _month(), "kb": bucket})
