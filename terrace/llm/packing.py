@@ -126,58 +126,51 @@ def best_fit(lengths: np.ndarray, capacity: Capacity = Capacity(), weights=(1.0,
              measure: str = "residual_norm") -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and offset of each piece of one shard.
 
-    Open sequences are kept by their residual tokens. For a piece the nearest classes of
-    residuals that can hold it are looked at, and of the sequences there that fit in all
-    capacities the best by ``measure`` ("residual_norm": least weighted norm left over;
-    "dot_product": greatest weighted product of piece and residual) is taken. Should none of
-    these fit in the other capacities, the search goes on to larger residuals until one fits."""
+    Of all open sequences that fit a piece in every capacity the best by ``measure`` is taken
+    ("residual_norm": least weighted norm left over; "dot_product": greatest weighted product of
+    piece and residual). For a piece of n tokens both are p - n * (q + n * s), up to a term that
+    all sequences share, with p, q and s of the sequence alone. A sequence is closed when no piece
+    of the shard fits it any more."""
     cap = capacity.as_array()
-    w = np.asarray(weights, dtype=np.float64)
+    w = np.asarray(weights, dtype=np.float64) / cap ** 2
     order = np.argsort(-lengths, kind="stable")
+    least = int(lengths.min(initial=capacity.tokens))
+    # Pieces have a token at least, so other capacities may be too wide ever to bind.
+    free = capacity.documents >= capacity.tokens and capacity.attention >= capacity.tokens ** 2
     bin_of = np.full(len(lengths), -1, dtype=np.int64)
     offset = np.zeros(len(lengths), dtype=np.int64)
-    by_rest: list[list[int]] = [[] for _ in range(capacity.tokens + 1)]
-    occupied = np.zeros(capacity.tokens + 2, dtype=bool)
-    rest: list[list[float]] = []
+    rest = np.zeros((3, len(lengths) + 1))      # residual capacities of the open sequences
+    terms = np.zeros((3, len(lengths) + 1))     # p, q and s
+    number = np.zeros(len(lengths) + 1, dtype=np.int64)
+    opened = m = widest = 0
     for i in order:
         n = int(lengths[i])
-        need = (n, 1, n * n)
-        best, best_score, classes = -1, None, 0
-        r = n
-        while True:
-            step = int(np.argmax(occupied[r:])) if r <= capacity.tokens else 0
-            r += step
-            if r > capacity.tokens or not occupied[r] or (best >= 0 and classes >= 4):
-                break
-            for b in by_rest[r][-8:] if best >= 0 or classes else by_rest[r]:
-                have = rest[b]
-                if have[1] >= need[1] and have[2] >= need[2]:
-                    if measure == "dot_product":
-                        score = -sum(x * a * h / (c * c) for x, a, h, c in zip(w, need, have, cap))
-                    else:
-                        score = sum(x * ((h - a) / c) ** 2 for x, a, h, c in zip(w, need, have, cap))
-                    if best < 0 or score < best_score:
-                        best, best_score = b, score
-                    if measure != "dot_product":
-                        break  # all of a class leave the same tokens; the last opened comes last
-            classes += 1
-            r += 1
-        if best < 0:
-            best = len(rest)
-            rest.append([cap[0], cap[1], cap[2]])
+        at = m
+        if widest >= n:
+            fits = rest[0, :m] >= n
+            if not free:
+                fits &= (rest[1, :m] >= 1) & (rest[2, :m] >= n * n)
+            some = np.flatnonzero(fits)
+            if len(some):
+                p, q, s = terms[:, some]
+                at = int(some[(p - n * (q + n * s)).argmin()])
+            elif free:
+                widest = n - 1
+        if at == m:
+            rest[:, m], number[m] = cap, opened
+            opened, m = opened + 1, m + 1
+        bin_of[i], offset[i] = number[at], int(cap[0] - rest[0, at])
+        rest[:, at] -= (n, 1, n * n)
+        r, d, a = rest[:, at]
+        if r < least or d < 1:
+            m -= 1
+            rest[:, at], terms[:, at], number[at] = rest[:, m], terms[:, m], number[m]
         else:
-            have = rest[best]
-            at = int(have[0])
-            by_rest[at].remove(best)
-            occupied[at] = bool(by_rest[at])
-        have = rest[best]
-        bin_of[i] = best
-        offset[i] = int(cap[0] - have[0])
-        rest[best] = [have[0] - n, have[1] - 1, have[2] - n * n]
-        left = int(rest[best][0])
-        if left > 0:
-            by_rest[left].append(best)
-            occupied[left] = True
+            widest = max(widest, int(r))
+            if measure == "dot_product":
+                terms[:, at] = -w[1] * d, w[0] * r, w[2] * a
+            else:
+                terms[:, at] = w[0] * r * r + w[1] * (d - 1) ** 2 + w[2] * a * a, 2 * w[0] * r, 2 * w[2] * a
     return bin_of, offset
 
 
