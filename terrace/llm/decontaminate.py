@@ -1,9 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark items are taken in blocks of bounded size. For a block: its words are the terms; their
-document frequencies are counted over all documents; a distributed randomised SVD of TF-IDF
-passages (of a bounded sample of documents and of all items) gives term loadings; every
-document is cut into overlapping passages whose vectors are compared by cosine with those of
+Benchmark items are taken in blocks of bounded size. For a block: its words are the terms; all
+texts are stored once as term numbers; document frequencies are counted over all documents; a
+randomised SVD of the TF-IDF passages of all documents and items gives term loadings, for blocks of
+up to ``GRAM_TERMS`` terms from the terms' products summed in one distributed pass, for others with
+a pass each turn; every document is cut into overlapping passages whose vectors are compared by cosine with those of
 the items and of the items' own passages; the projection on the item must also reach a share
 (``energy``) of the item's length, which passages of common words alone do not. Candidates are checked word by word: the longest
 common subsequence of item and surrounding text must cover at least ``overlap`` of the item, and
@@ -32,7 +33,8 @@ from terrace.llm.common import WordCodes, stored, text_blocks
 
 HALF = 16                  # words of half a passage; passages overlap by half
 BLOCK_CHARS = 1_000_000
-SLICES = 16                # of the term table, each added up in a task of its own
+CELLS = 65_536             # of a table of terms that are added up at a time, in some task
+GRAM_TERMS = 4096          # terms whose products are summed in memory
 OUT_SCHEMA = "doc_id long, item_id long, overlap double, answer_share double, cosine double, first_word long, last_word long"
 
 
@@ -65,39 +67,49 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def term_frequencies(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
+def _kind(items: Items) -> str:
+    return "<i2" if len(items.terms) < 1 << 15 else "<i4"
+
+
+def code_texts(docs: DataFrame, items: Items) -> DataFrame:
+    """Blocks of texts as the term numbers of their words, -1 for other words: ids, words of each
+    text, and all numbers."""
+    shared, kind = docs.sparkSession.sparkContext.broadcast(items.terms), _kind(items)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(shared.value)
+        for (ids,), texts in text_blocks(batches, BLOCK_CHARS):
+            words = coder(texts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids], pa.list_(pa.int64())), pa.array([np.array([len(w) for w in words], dtype="<u4").tobytes()], pa.binary()),
+                 pa.array([np.concatenate(words).astype(kind).tobytes()], pa.binary())], ["doc_ids", "lengths", "codes"])
+
+    return _texts(docs).mapInArrow(run, "doc_ids array<long>, lengths binary, codes binary")
+
+
+def _coded(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """Ids, words of each text and term numbers of every block."""
+    for batch in batches:
+        for ids, lengths, codes in zip(batch.column("doc_ids"), batch.column("lengths"), batch.column("codes")):
+            yield ids.as_py(), np.frombuffer(lengths.as_py(), dtype="<u4").astype(np.int64), np.frombuffer(codes.as_py(), dtype=kind).astype(np.int64)
+
+
+def term_frequencies(coded: DataFrame, items: Items) -> tuple[np.ndarray, int]:
     """Number of documents that hold each term, and of all documents with words."""
+    size, kind = len(items.terms), _kind(items)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = shared.value
-        n, total = np.zeros(len(terms), dtype=np.int64), 0
-        # Of the runs between white space seen so far: the terms of those that hold some, and
-        # those without a word. A text is looked at by its distinct runs.
-        known: set[str] = set()
-        hold: dict[str, list[int]] = {}
-        blank: set[str] = set()
-        for _, texts in text_blocks(batches, BLOCK_CHARS):
-            for text in texts:
-                runs = set(text.lower().split())
-                if len(known) > 500_000:
-                    known, hold, blank = set(), {}, set()
-                new = runs - known
-                known |= new
-                for run in new:
-                    words = WordCodes.WORD.findall(run)
-                    found = [terms[w] for w in words if w in terms]
-                    if found:
-                        hold[run] = found
-                    elif not words:
-                        blank.add(run)
-                total += not runs <= blank
-                held = {t for run in runs & hold.keys() for t in hold[run]}
-                n[list(held)] += 1
+        n, total = np.zeros(size, dtype=np.int64), 0
+        for _, lengths, codes in _coded(batches, kind):
+            hit = codes >= 0
+            held = np.unique(np.repeat(np.arange(len(lengths)) * size, lengths)[hit] + codes[hit])
+            n += np.bincount(held % size, minlength=size)
+            total += int((lengths > 0).sum())
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(n[at], total))], ["term", "n"])
 
-    shared = docs.sparkSession.sparkContext.broadcast(items.terms)
-    out, total = np.zeros(len(items.terms)), 0
-    for r in _texts(docs).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+    out, total = np.zeros(size), 0
+    for r in coded.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         if r["term"] >= 0:
             out[r["term"]] = r["n"]
         else:
@@ -110,58 +122,125 @@ def passages(words: np.ndarray) -> list[np.ndarray]:
     return [words[a:a + 2 * HALF] for a in range(0, max(len(words) - HALF, 1), HALF)]
 
 
-def _gram(parts: list[np.ndarray], idf: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """A'(A x) for the TF-IDF rows of some passages, normalised to length one."""
-    out = np.zeros_like(x)
-    for p in parts:
-        t, n = np.unique(p[p >= 0], return_counts=True)
-        if len(t):
-            w = n * idf[t]
-            w = w / np.sqrt((w * w).sum())
-            out[t] += w[:, None] * (w @ x[t])[None]
+def halves_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts of some lengths, cut into halves of passages: the half of every word, the first half
+    of every text (and their number), whether a half is the last of its text, and whether it is all."""
+    halves = np.maximum(1, -(-lengths // HALF))
+    first = np.cumsum(np.append(0, halves))
+    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    last = np.zeros(first[-1], dtype=bool)
+    last[first[1:] - 1] = True
+    return np.repeat(first[:-1], lengths) + place // HALF, first, last, np.repeat(halves, halves) == 1
+
+
+def passage_rows(lengths: np.ndarray, codes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, term, weight), ordered, of the TF-IDF rows of all passages, normalised to length one."""
+    half, first, last, alone = halves_of(lengths)
+    begins = np.zeros(len(last), dtype=bool)
+    begins[first[:-1]] = True
+    half, term = half[codes >= 0], codes[codes >= 0]
+    # A passage has the number of its first half: a half is in its own and in the one before.
+    own, before = (~last | alone)[half], ~begins[half]
+    keys, n = np.unique(np.concatenate([half[own] * len(idf) + term[own], (half[before] - 1) * len(idf) + term[before]]), return_counts=True)
+    passage, term = keys // len(idf), keys % len(idf)
+    w = n * idf[term]
+    return passage, term, w / np.sqrt(np.bincount(passage, w * w, minlength=len(last)))[passage]
+
+
+def _own_rows(items: Items, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of all items, whole and in passages."""
+    rows = []
+    for p in (p for w in items.words for p in [w, *passages(w)]):
+        t, n = np.unique(p, return_counts=True)
+        w = n * idf[t]
+        rows.append((t, w / np.sqrt((w * w).sum())))
+    at = np.repeat(np.arange(len(rows)), [len(t) for t, _ in rows])
+    return at, np.concatenate([t for t, _ in rows]), np.concatenate([w for _, w in rows])
+
+
+def _times(rows: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray, out: np.ndarray) -> None:
+    """Adds A'(A x) of some rows A."""
+    passage, term, w = rows
+    cuts = np.append(np.flatnonzero(np.diff(passage, prepend=-1)), len(passage))
+    for a in range(0, len(cuts) - 1, 4096):
+        part = slice(cuts[a], cuts[min(a + 4096, len(cuts) - 1)])
+        t, v = term[part], w[part, None]
+        begin = cuts[a:min(a + 4096, len(cuts) - 1)] - cuts[a]
+        product = np.add.reduceat(v * x[t], begin, axis=0)
+        np.add.at(out, t, v * np.repeat(product, np.diff(np.append(begin, len(t))), axis=0))
+
+
+def _added(parts: DataFrame, size: int) -> np.ndarray:
+    """Sum of tables of ``size`` cells that tasks made, in rows (slice, part)."""
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(p, dtype="<f4").astype(np.float64) for p in pdf["part"])
+        return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "part": [total.astype("<f4").tobytes()]})
+
+    out = np.zeros(size)
+    for r in parts.groupBy("slice").applyInPandas(add, "slice int, part binary").collect():
+        part = np.frombuffer(r["part"], dtype="<f4")
+        out[r["slice"] * CELLS:r["slice"] * CELLS + len(part)] = part
     return out
 
 
-def sample_rows(docs: DataFrame, n: int) -> DataFrame:
-    """``n`` rows, those whose ids have the least hashes, stored once for all turns and blocks of
-    items. Only hashes are ordered; rows are picked, not ids, so a repeated id adds no further
-    row beyond ``n``."""
-    h = F.xxhash64("doc_id")
-    least = docs.select(h.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
-    return stored(_texts(docs.where(h <= F.lit(least))).limit(n).repartition(8), "leak-sample")
+def _sliced(table: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for k, a in enumerate(range(0, len(table), CELLS)):
+        part = table[a:a + CELLS].astype("<f4")
+        if part.any():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["slice", "part"])
 
 
-def loadings(sample: DataFrame, items: Items, idf: np.ndarray, rank: int, turns: int = 2) -> np.ndarray:
-    """[term, rank] right singular vectors of the TF-IDF passages of the sample's rows and all
-    items: subspace iteration from a random start, each turn one pass of the sample's tasks."""
-    rank = min(rank, len(idf))
-    x = np.linalg.qr(np.random.default_rng(7).standard_normal((len(idf), rank)))[0]
-    own = [p for w in items.words for p in [w, *passages(w)]]
-    terms = sample.sparkSession.sparkContext.broadcast((items.terms, idf))
+def _few(coded: DataFrame) -> DataFrame:
+    """As many tasks as run at once: each makes a table of its own, whatever the number of blocks."""
+    return coded.coalesce(max(1, coded.sparkSession.sparkContext.defaultParallelism))
 
-    step = -(-len(idf) // SLICES)
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(p, dtype="<f4").astype(np.float64) for p in pdf["part"])
-        return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "part": [total.astype("<f4").tobytes()]})
+def gram(coded: DataFrame, items: Items, idf: np.ndarray) -> np.ndarray:
+    """[term, term] A'A of the TF-IDF rows of the passages of all documents."""
+    size, kind = len(idf), _kind(items)
+    shared = coded.sparkSession.sparkContext.broadcast(idf)
+    begin = np.arange(size) * size - np.arange(size) * (np.arange(size) + 1) // 2  # of a row of the upper triangle
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(size * (size + 1) // 2)
+        for _, lengths, codes in _coded(batches, kind):
+            passage, term, w = passage_rows(lengths, codes, shared.value)
+            for lag in range(2 * HALF):
+                both = np.flatnonzero(passage[lag:] == passage[:len(passage) - lag])
+                if not len(both):
+                    break
+                np.add.at(out, begin[term[both]] + term[both + lag], w[both] * w[both + lag])
+        yield from _sliced(out)
+
+    upper = np.zeros((size, size))
+    upper[np.triu_indices(size)] = _added(_few(coded).mapInArrow(run, "slice int, part binary"), size * (size + 1) // 2)
+    return upper + np.triu(upper, 1).T
+
+
+def loadings(coded: DataFrame, items: Items, idf: np.ndarray, rank: int, turns: int = 2, gram_terms: int = GRAM_TERMS) -> np.ndarray:
+    """[term, rank] right singular vectors of the TF-IDF passages of all documents and items:
+    subspace iteration from a random start."""
+    rank = min(rank, len(idf))
+    x = np.linalg.qr(np.random.default_rng(7).standard_normal((len(idf), rank)))[0]
+    own, kind = _own_rows(items, idf), _kind(items)
+    table = gram(coded, items, idf) if len(idf) <= gram_terms else None
+    context = coded.sparkSession.sparkContext
+    weights = context.broadcast(idf)
 
     def times(y: np.ndarray) -> np.ndarray:
-        sent = sample.sparkSession.sparkContext.broadcast(y)
+        total = np.zeros_like(y)
+        _times(own, y, total)
+        if table is not None:
+            return total + table @ y
+        sent = context.broadcast(y)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            numbers, weight = terms.value
-            coder, out = _coder(numbers), np.zeros_like(sent.value)
-            for _, texts in text_blocks(batches, BLOCK_CHARS):
-                out += _gram([p for w in coder(texts) for p in passages(w)], weight, sent.value)
-            parts = [out[a:a + step].astype("<f4").tobytes() for a in range(0, len(out), step)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["slice", "part"])
-
-        total = _gram(own, idf, y)
-        schema = "slice int, part binary"
-        for r in sample.mapInArrow(run, schema).groupBy("slice").applyInPandas(add, schema).collect():
-            part = np.frombuffer(r["part"], dtype="<f4").reshape(-1, total.shape[1])
-            total[r["slice"] * step:r["slice"] * step + len(part)] += part
-        return total
+            out = np.zeros_like(sent.value)
+            for _, lengths, codes in _coded(batches, kind):
+                _times(passage_rows(lengths, codes, weights.value), sent.value, out)
+            yield from _sliced(out.ravel())
+
+        return total + _added(_few(coded).mapInArrow(run, "slice int, part binary"), y.size).reshape(y.shape)
 
     for _ in range(turns):
         x = np.linalg.qr(times(x))[0]
@@ -189,7 +268,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-12)
 
 
-def search(docs: DataFrame, items: Items, idf: np.ndarray, load: np.ndarray, cosine: float, energy: float,
+def search(coded: DataFrame, items: Items, idf: np.ndarray, load: np.ndarray, cosine: float, energy: float,
            overlap: float, answers: float) -> DataFrame:
     """All verified matches of a block of items with all documents."""
     vectors = (load * idf[:, None]).astype(np.float32)
@@ -208,7 +287,8 @@ def search(docs: DataFrame, items: Items, idf: np.ndarray, load: np.ndarray, cos
     holder = np.array([k for _, k in pairs], dtype=np.int64)
     need = np.array([int(np.ceil(answers * len(r) - 1e-9)) for r in rare])
     reach = -(-max(len(w) for w in items.words) // HALF) + 1
-    shared = docs.sparkSession.sparkContext.broadcast((items, vectors, target, least, owner, rare, begin, holder, need))
+    kind = _kind(items)
+    shared = coded.sparkSession.sparkContext.broadcast((items, vectors, target, least, owner, rare, begin, holder, need))
 
     def answer_places(term: np.ndarray, half: np.ndarray, n_halves: int) -> np.ndarray:
         """[half, item] whether enough answer words of an item may stand around a passage."""
@@ -225,19 +305,12 @@ def search(docs: DataFrame, items: Items, idf: np.ndarray, load: np.ndarray, cos
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, vec, to, low, own, answer = shared.value[:6]
-        coder = _coder(block.terms)
-        for (ids,), texts in text_blocks(batches, BLOCK_CHARS):
-            coded = coder(texts)
-            halves = [max(1, -(-len(w) // HALF)) for w in coded]
-            first = np.cumsum([0, *halves])
-            half = np.concatenate([first[i] + np.arange(len(w)) // HALF for i, w in enumerate(coded)]).astype(np.int64)
-            flat = np.concatenate(coded)
+        for ids, lengths, flat in _coded(batches, kind):
+            half, first, last, alone = halves_of(lengths)
+            start = np.cumsum(lengths) - lengths
             hit = np.flatnonzero(flat >= 0)
             # A passage is two halves of one document; a document of one half is a passage. Only
             # passages around which an item's answer words may stand get a vector.
-            last = np.zeros(first[-1], dtype=bool)
-            last[first[1:] - 1] = True
-            alone = np.repeat(np.array(halves), halves) == 1
             enough = answer_places(flat[hit], half[hit], int(first[-1]))
             place = np.flatnonzero((~last | alone) & enough.any(axis=1))
             used = np.zeros(first[-1] + 1, dtype=bool)
@@ -249,7 +322,7 @@ def search(docs: DataFrame, items: Items, idf: np.ndarray, load: np.ndarray, cos
                 cut = np.flatnonzero(np.diff(h, prepend=-1))
                 sums[h[cut]] += np.add.reduceat(vec[flat[hit[a:a + 65536]]], cut, axis=0)
             whole = sums[place] + np.where(alone[place][:, None], 0, sums[place + 1])
-            doc_of = np.repeat(np.arange(len(texts)), halves)[place]
+            doc_of = np.repeat(np.arange(len(lengths)), np.diff(first))[place]
             size = np.sqrt((whole * whole).sum(axis=1))
             found: dict[tuple[int, int], tuple] = {}
             for a in range(0, len(place), 4096):
@@ -265,7 +338,7 @@ def search(docs: DataFrame, items: Items, idf: np.ndarray, load: np.ndarray, cos
                         continue
                     item = block.words[k]
                     lo = max(0, at - len(item))
-                    region = coded[d][lo:at + 2 * HALF + len(item)]
+                    region = flat[start[d] + lo:start[d] + min(at + 2 * HALF + len(item), lengths[d])]
                     some = set(region.tolist())
                     share = len(answer[k] & some) / len(answer[k])
                     if share < answers:
@@ -279,19 +352,19 @@ def search(docs: DataFrame, items: Items, idf: np.ndarray, load: np.ndarray, cos
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                              ["doc_id", "item_id", "overlap", "answer_share", "cosine", "first_word", "last_word"])
 
-    return _texts(docs).mapInArrow(run, OUT_SCHEMA)
+    return coded.mapInArrow(run, OUT_SCHEMA)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 96, sample_docs: int = 1000, block_items: int = 1024,
+def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 96, block_items: int = 1024,
                  cosine: float = 0.45, energy: float = 0.3, overlap: float = 0.6, answers: float = 0.5) -> DataFrame:
     """One row per document and item that it leaks: share of the item found in order, share of its
     answer words, cosine of the best passage, and the words of the text that were looked at."""
-    out = sample = None
+    out = None
     for items in item_blocks(benchmark, block_items):
-        sample = sample_rows(docs, sample_docs) if sample is None else sample
-        n, total = term_frequencies(docs, items)
+        coded = stored(code_texts(docs, items), "leak-codes", compression="zstd")
+        n, total = term_frequencies(coded, items)
         idf = np.log((total + 1) / (n + 1)) + 1e-3
-        load = loadings(sample, items, idf, rank)
-        part = search(docs, items, idf, load, cosine, energy, overlap, answers)
+        load = loadings(coded, items, idf, rank)
+        part = search(coded, items, idf, load, cosine, energy, overlap, answers)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], OUT_SCHEMA)

@@ -348,6 +348,29 @@ def test_leaks(spark, docs, empty):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_leak_model_holds_every_passage(spark):
+    rng = random.Random(6)
+    items = [rng.choices(EN, k=n) for n in (5, 20, 60)]
+    terms = {w: k for k, w in enumerate(sorted({w for ws in items for w in ws}))}
+    block = decontaminate.Items([1, 2, 3], [np.array([terms[w] for w in ws]) for ws in items], terms)
+    texts = [" ".join(rng.choices(EN + ["other", "words"], k=n)) for n in [0, 1, 16, 17, 32, 33, 49, *([40] * 1200)]] + [None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    coded = decontaminate.code_texts(docs, block).cache()
+    n, total = decontaminate.term_frequencies(coded, block)
+    assert total == 1206 and n.tolist() == [sum(w in (t or "").split() for t in texts) for w in sorted(terms)]
+    idf = np.log((total + 1) / (n + 1)) + 1e-3
+    want = np.zeros((len(idf), len(idf)))
+    for t in texts:
+        for p in decontaminate.passages(np.array([terms.get(w, -1) for w in (t or "").split()], dtype=int)):
+            row = np.bincount(p[p >= 0], minlength=len(idf)) * idf
+            if row.any():
+                want += np.outer(row, row) / (row * row).sum()
+    assert np.allclose(decontaminate.gram(coded, block, idf), want, rtol=1e-5)
+    few = [decontaminate.loadings(coded, block, idf, 6, gram_terms=g) for g in (0, 100)]
+    assert np.allclose(few[0] @ few[0].T, few[1] @ few[1].T, atol=1e-3)
+
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(3)
     for _ in range(50):
@@ -395,6 +418,23 @@ def test_capacities(measure):
     assert np.bincount(seq, weights=lengths.astype(float) ** 2).max() <= 300_000
 
 
+@pytest.mark.parametrize("measure", ["residual_norm", "dot_product"])
+@pytest.mark.parametrize("cap", [packing.Capacity(256, 256, 256 * 256), packing.Capacity(256, 9, 20_000)])
+def test_every_piece_goes_to_the_best_of_all_open_sequences(measure, cap):
+    rng = np.random.default_rng(1)
+    lengths = np.concatenate([rng.integers(1, 120, 400), rng.integers(1, 12, 400), np.full(60, 150)])
+    seq, offset = packing.best_fit(lengths, cap, (1.0, 0.5, 0.5), measure)
+    c, w = cap.as_array(), np.array([1.0, 0.5, 0.5])
+    rest = {}
+    for i in np.argsort(-lengths, kind="stable"):
+        need = np.array([lengths[i], 1, lengths[i] ** 2])
+        fits = {b: (-(w * need * h / c ** 2).sum() if measure == "dot_product" else (w * ((h - need) / c) ** 2).sum())
+                for b, h in rest.items() if (h >= need).all()}
+        assert (seq[i] in fits) == bool(fits) and (not fits or fits[seq[i]] <= min(fits.values()) + 1e-9)
+        assert offset[i] == c[0] - rest.setdefault(seq[i], c)[0]
+        rest[seq[i]] = rest[seq[i]] - need
+
+
 # ------------------------------------------------------------------ 9
 def test_rules(docs, empty):
     for d, r in by_id(quality_rules.ledger(docs)).items():
