@@ -35,7 +35,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from terrace.llm.common import stored, text_blocks, text_size
+from terrace.llm.common import stored, stored_alone, text_blocks, text_size
 
 END = b"\n"                # cannot be a word
 BLOCK_CHARS = 2_000_000
@@ -91,8 +91,8 @@ def _train(row: dict, lengths: np.ndarray) -> np.ndarray:
 
 
 def seed_words(blocks: DataFrame, seeds: int) -> np.ndarray:
-    """Sorted hashes of the most frequent training words (the end token excluded). A block reports
-    the words that make up at least one in ``10 * seeds`` of its training tokens."""
+    """Sorted hashes of the most frequent training words (the end token excluded), by their counts
+    over all blocks."""
     import xxhash
 
     end = xxhash.xxh64_intdigest(END)
@@ -102,7 +102,7 @@ def seed_words(blocks: DataFrame, seeds: int) -> np.ndarray:
             lengths, ids, keys = _tokens(row)
             train = _train(row, lengths)
             n = np.bincount(ids[train], minlength=len(keys))
-            some = np.flatnonzero((n > 0) & (n * 10 * seeds >= train.sum()) & (keys != end))
+            some = np.flatnonzero((n > 0) & (keys != end))
             yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(n[some].astype(np.int64))], ["key", "n"])
 
     rows = blocks.select("held", "lengths", "ids", "keys").mapInArrow(run, "key long, n long") \
@@ -332,7 +332,7 @@ def score_texts(docs: DataFrame, held_out: Column, n_classes: int = 64, seeds: i
     blocks = stored(encode(docs, held_out), "brown-blocks")
     words = seed_words(blocks, seeds)
     of_seeds, seed_pairs = exchange(seed_bigrams(blocks, words), k, rounds)
-    found = stored(word_classes(blocks, words, of_seeds, seed_pairs, buckets), "brown-classes")
+    found = stored_alone(word_classes(blocks, words, of_seeds, seed_pairs, buckets), "brown-classes")
     tokens, distinct = class_sums(found, k)
     n_tokens = int(tokens.sum())
     whole = n_tokens + ADD * (distinct.sum() + 1)
@@ -356,7 +356,7 @@ def score_texts(docs: DataFrame, held_out: Column, n_classes: int = 64, seeds: i
                 ["doc_ids", "held", "lengths", "classes", "base", "known"])
 
     back = found.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("bucket", "counts", "classes")).alias("back"))
-    classed = stored(blocks.join(back, "block").mapInArrow(
+    classed = stored_alone(blocks.join(back, "block").mapInArrow(
         place, "doc_ids array<long>, held array<boolean>, lengths binary, classes binary, base binary, known binary"), "brown-classed")
     pairs = class_bigrams(classed, k)
     mass = (tokens + ADD * distinct) / whole

@@ -293,6 +293,23 @@ def test_pii_generators(spark):
         assert sum(len(got[d]["found"]) > len(got[d]["base"]) for d, _ in texts if d % 8 == place) <= 0.05 * 400
 
 
+def test_thresholds_count_all_candidates(spark):
+    # Three of four identity numbers are reserved.
+    texts = [(i, f"no {900 if i % 4 else 120}-{10 + i % 80}-{1000 + i} or jo{i}@mail.example.com") for i in range(2400)]
+    cands = pii.candidates(spark.createDataFrame(texts, "doc_id long, text string"))
+    part = pii.labelled(cands)
+    for most in (100_000, 12):
+        cuts, rows = pii.counted(part, most)
+        assert sum(r[3] for r in rows) == part.count() > 4800
+    want = {(r["half"], r["label"], int(r["kind"])): r["count"] for r in part.groupBy("half", "label", "kind").count().collect()}
+    got = collections.Counter()
+    for r in rows:
+        got[r[:3]] += r[3]
+    assert dict(got) == want
+    found = by_id(pii.find_pii(spark.createDataFrame(texts, "doc_id long, text string")))
+    assert all(any(x["kind"] == 4 for x in found[i]["found"]) == (i % 4 == 0) for i in range(2400))
+
+
 def test_secrets(docs, empty):
     for d, r in by_id(secrets.find_secrets(docs).select("doc_id", secrets.span_text(F.col("base")).alias("s"), secrets.span_text(F.col("found")).alias("f"))).items():
         if d == 81:
@@ -301,6 +318,13 @@ def test_secrets(docs, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def test_seed_words_are_counted_over_all_texts(spark):
+    texts = [(i, " ".join(f"w{k:02d}" for k in range(30)) + (" w07 w11" if i % 2 else "")) for i in range(40)]
+    blocks = brown.encode(spark.createDataFrame(texts, "doc_id long, text string"), F.lit(False))
+    import xxhash
+    assert brown.seed_words(blocks, 2).tolist() == sorted(xxhash.xxh64_intdigest(w) for w in (b"w07", b"w11"))
+
+
 def test_randomness_separates():
     rng = random.Random(2)
     token = lambda a, n: "".join(rng.choice(a) for _ in range(n))
