@@ -76,5 +76,7 @@ def small_group_counts_and_sums(source: DataFrame, keys: Sequence[str], counts:
                         *[column(v).cast("double").alias(f"_s{i}") for i, v in enumerate(sums.values())])
     out = rows.repartition(*keys).groupBy(*keys).agg(
         *[F.size(F.collect_set(f"_v{i}")).cast("long").alias(n) for i, n in enumerate(counts)],
-        *[F.sum(f"_s{i}").alias(n) for i, n in enumerate(sums)])
+        # Doubles are added in the order of their values, as rows arrive from a shuffle in any order.
+        *[F.when(F.count(f"_s{i}") > 0, F.aggregate(F.array_sort(F.collect_list(f"_s{i}")), F.lit(0.0), lambda a, v: a + v)).alias(n)
+          for i, n in enumerate(sums)])
     return out if small is source else out.unionByName(spread)
