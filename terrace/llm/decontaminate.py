@@ -33,6 +33,7 @@ from terrace.llm.common import WordCodes, stored, text_blocks
 
 HALF = 16                  # words of half a passage; passages overlap by half
 BLOCK_CHARS = 1_000_000
+CODE_CHARS = 8 * BLOCK_CHARS  # of texts whose words are looked up together
 CELLS = 65_536             # of a table of terms that are added up at a time, in some task
 GRAM_TERMS = 4096          # terms whose products are summed in memory
 OUT_SCHEMA = "doc_id long, item_id long, overlap double, answer_share double, cosine double, first_word long, last_word long"
@@ -78,11 +79,15 @@ def code_texts(docs: DataFrame, items: Items) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared.value)
-        for (ids,), texts in text_blocks(batches, BLOCK_CHARS):
+        for (ids,), texts in text_blocks(batches, CODE_CHARS):
             words = coder(texts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([ids], pa.list_(pa.int64())), pa.array([np.array([len(w) for w in words], dtype="<u4").tobytes()], pa.binary()),
-                 pa.array([np.concatenate(words).astype(kind).tobytes()], pa.binary())], ["doc_ids", "lengths", "codes"])
+            # Block of every text by the characters up to its end.
+            block = np.cumsum([len(t) for t in texts]) // BLOCK_CHARS
+            cuts = [*np.flatnonzero(np.diff(block, prepend=-1)).tolist(), len(texts)]
+            for a, b in zip(cuts, cuts[1:]):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids[a:b]], pa.list_(pa.int64())), pa.array([np.array([len(w) for w in words[a:b]], dtype="<u4").tobytes()], pa.binary()),
+                     pa.array([np.concatenate(words[a:b]).astype(kind).tobytes()], pa.binary())], ["doc_ids", "lengths", "codes"])
 
     return _texts(docs).mapInArrow(run, "doc_ids array<long>, lengths binary, codes binary")
 
@@ -176,7 +181,7 @@ def _added(parts: DataFrame, size: int) -> np.ndarray:
         total = sum(np.frombuffer(p, dtype="<f4").astype(np.float64) for p in pdf["part"])
         return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "part": [total.astype("<f4").tobytes()]})
 
-    out = np.zeros(size)
+    out = np.zeros(size, dtype=np.float32)
     for r in parts.groupBy("slice").applyInPandas(add, "slice int, part binary").collect():
         part = np.frombuffer(r["part"], dtype="<f4")
         out[r["slice"] * CELLS:r["slice"] * CELLS + len(part)] = part
@@ -196,25 +201,42 @@ def _few(coded: DataFrame) -> DataFrame:
 
 
 def gram(coded: DataFrame, items: Items, idf: np.ndarray) -> np.ndarray:
-    """[term, term] A'A of the TF-IDF rows of the passages of all documents."""
+    """[term, term] A'A of the TF-IDF rows of the passages of all documents.
+
+    Tasks number the terms from the most frequent one on and add a block's products in about the
+    order of the cells: the table is larger than caches. The driver holds the upper triangle and the
+    table, both of four bytes a cell."""
     size, kind = len(idf), _kind(items)
-    shared = coded.sparkSession.sparkContext.broadcast(idf)
+    order = np.argsort(idf, kind="stable")
+    place = np.append(np.argsort(order), -1)  # of a term; the last one stands for other words
+    shared = coded.sparkSession.sparkContext.broadcast((place, idf[order]))
     begin = np.arange(size) * size - np.arange(size) * (np.arange(size) + 1) // 2  # of a row of the upper triangle
+    cells = size * (size + 1) // 2
+    shift = max(0, cells.bit_length() - 16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(size * (size + 1) // 2)
+        place, weights = shared.value
+        out = np.zeros(cells)
         for _, lengths, codes in _coded(batches, kind):
-            passage, term, w = passage_rows(lengths, codes, shared.value)
+            passage, term, w = passage_rows(lengths, place[codes], weights)
+            row, cell, product = begin[term], [], []
             for lag in range(2 * HALF):
                 both = np.flatnonzero(passage[lag:] == passage[:len(passage) - lag])
                 if not len(both):
                     break
-                np.add.at(out, begin[term[both]] + term[both + lag], w[both] * w[both + lag])
+                cell.append(row[both] + term[both + lag])
+                product.append(w[both] * w[both + lag])
+            if cell:
+                at = np.concatenate(cell)
+                sort = np.argsort((at >> shift).astype(np.uint16), kind="stable")  # by radix, of 16 bits
+                np.add.at(out, at[sort], np.concatenate(product)[sort])
         yield from _sliced(out)
 
-    upper = np.zeros((size, size))
-    upper[np.triu_indices(size)] = _added(_few(coded).mapInArrow(run, "slice int, part binary"), size * (size + 1) // 2)
-    return upper + np.triu(upper, 1).T
+    upper = _added(_few(coded).mapInArrow(run, "slice int, part binary"), cells)
+    out = np.zeros((size, size), dtype=np.float32)
+    for i, at in enumerate(begin):
+        out[order[i], order[i:]] = out[order[i:], order[i]] = upper[at + i:at + size]
+    return out
 
 
 def loadings(coded: DataFrame, items: Items, idf: np.ndarray, rank: int, turns: int = 2, gram_terms: int = GRAM_TERMS) -> np.ndarray:
@@ -231,7 +253,9 @@ def loadings(coded: DataFrame, items: Items, idf: np.ndarray, rank: int, turns:
         total = np.zeros_like(y)
         _times(own, y, total)
         if table is not None:
-            return total + table @ y
+            for a in range(0, len(table), 512):
+                total[a:a + 512] += table[a:a + 512] @ y
+            return total
         sent = context.broadcast(y)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +323,7 @@ def search(coded: DataFrame, items: Items, idf: np.ndarray, load: np.ndarray, co
         item = holder[np.repeat(begin[term[some]] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
         counts = np.zeros((n_halves + 1, len(need)), dtype=np.int32)
         np.add.at(counts, (np.repeat(half[some], size) + 1, item), 1)
-        upto = counts.cumsum(axis=0)
+        upto = counts.cumsum(axis=0, dtype=np.int32)
         j = np.arange(n_halves)
         return upto[np.minimum(j + 2 + reach, n_halves)] - upto[np.maximum(j - reach, 0)] >= need[None]
 

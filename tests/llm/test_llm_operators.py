@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terrace.llm import brown, decontaminate, graph, language, line_dedup, minhash, packing, pii, quality_crf, quality_rules, secrets
+from terrace.llm import brown, common, decontaminate, graph, language, line_dedup, minhash, packing, pii, quality_crf, quality_rules, secrets
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, found string, h long"
 EN = ("the of and to in that with for was on house river stone window light garden market letter paper story winter summer "
@@ -395,6 +395,34 @@ def test_leak_model_holds_every_passage(spark):
 
 
 
+def test_leak_table_takes_few_copies_on_the_driver(spark):
+    import tracemalloc
+
+    size = 1600
+    terms = {f"w{i:04}": i for i in range(size)}
+    block = decontaminate.Items([1], [np.arange(size)], terms)
+    docs = spark.createDataFrame([(i, " ".join(f"w{j:04}" for j in range(i, size, 97))) for i in range(97)], "doc_id long, text string")
+    coded = decontaminate.code_texts(docs, block)
+    tracemalloc.start()
+    table = decontaminate.gram(coded, block, np.linspace(1, 2, size)[::-1])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * size * size and np.array_equal(table, table.T) and table.any()
+
+
+def test_words_of_text_blocks_are_those_of_each_text(spark):
+    rng = random.Random(9)
+    texts = ["", "  ", "a", "İstanbul ΣΑΣ Σ", "a\u00a0b\u2003c", "x²y ½ Ⅳa", "a\x1cb\x1dc", "a_b __ 12 3a4", "日本語 テスト", "x\ty\x0bz\x0cw\r\n q", "\x00a b\x85c"]
+    texts += [prose(rng, EN, rng.randrange(30)) for _ in range(50)]
+    coder = common.WordCodes(lambda w: zlib.crc32(w.encode()))
+    for some in (texts, texts[::-1], texts[:1], []):
+        want = [[zlib.crc32(w.encode()) for w in re.findall(r"[^\W_]+", t.lower())] for t in some]
+        assert [c.tolist() for c in coder(some)] == want
+    runs, number, sizes = common.text_runs(["b a  b", "", "A\n"])
+    assert [runs[i] for i in number if runs[i]] == ["b", "a", "b", "A"]
+    assert sizes.sum() == len(number) and len(set(runs)) == len(runs)
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(3)
     for _ in range(50):
