@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import os
 import re
+import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,13 +25,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from terrace.llm.common import stored, text_blocks
+from terrace.llm.common import runs_coded, stored, text_blocks, text_runs
 
 END_ID = 0
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 # The pre-tokens of the tokenizer's own split, as far as Python's classes agree with it.
 PRE_TOKEN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
-ODD = re.compile("[\x1c-\x1fΣİ]")
+ODD = ("<|", "\x1c", "\x1d", "\x1e", "\x1f", "Σ", "İ")
 CACHE_WORDS = 600_000
 
 
@@ -44,6 +46,13 @@ class Capacity:
         return np.array([self.tokens, self.documents, self.attention], dtype=np.float64)
 
 
+def _byte_letters() -> str:
+    """What the byte alphabet writes for every byte: itself if it is printed, else a letter above 255."""
+    printed = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = iter(range(256, 512))
+    return "".join(chr(b if b in printed else next(other)) for b in range(256))
+
+
 class WordCache:
     """Ids of texts by their words between white space: a word is encoded once, by its
     pre-tokens, and then looked up. Both dictionaries are emptied at a fixed size. Texts or
@@ -54,6 +63,7 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = dict(enumerate(_byte_letters()))
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -61,40 +71,40 @@ class WordCache:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def part(self, part: str) -> bytes:
-        if part.isascii() and part.isprintable():  # the byte alphabet leaves these as they are
-            ids = [t.id for t in self.tokenizer.model.tokenize(part)]
-            return np.asarray(ids, dtype="<u4").tobytes()
-        return self.whole(part)
-
-    def learn(self, words: set[str]) -> None:
+        if not (part.isascii() and part.isprintable()):  # the byte alphabet leaves these as they are
+            if not (part.isalpha() and part == part.lower() and unicodedata.is_normalized("NFC", part)):
+                return self.whole(part)
+            part = part.encode().decode("latin-1").translate(self.letters)
+        tokens = self.tokenizer.model.tokenize(part)
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+    def word(self, word: str) -> bytes:
+        found = [word] if word.isalpha() else PRE_TOKEN.findall(word)
+        if not word.isascii() and any(p[0].isalnum() and not (p.isalpha() or p.isdecimal()) for p in found):
+            return self.whole(word)  # letters mixed with other numerals
         parts = self.parts
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if len(parts) > CACHE_WORDS:
-            parts.clear()
-        for word in words:
-            found = PRE_TOKEN.findall(word)
-            if not word.isascii() and any(p[0].isalnum() and not (p.isalpha() or p.isdecimal()) for p in found):
-                self.words[word] = self.whole(word)  # letters mixed with other numerals
-                continue
-            for p in found:
-                if p not in parts:
-                    parts[p] = self.part(p)
-            self.words[word] = b"".join([parts[p] for p in found])
+        for p in found:
+            if p not in parts:
+                parts[p] = self.part(p)
+        return parts[found[0]] if len(found) == 1 else b"".join([parts[p] for p in found])
+
+    def learn(self, runs: list[str]) -> None:
+        words = self.words
+        if len(words) > CACHE_WORDS:
+            words.clear()
+        if len(self.parts) > CACHE_WORDS:
+            self.parts.clear()
+        for run in runs:
+            if run not in words:
+                words[run] = b"".join(map(self.word, run.lower().split()))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        import unicodedata
-
-        plain = [(t.isascii() or unicodedata.is_normalized("NFC", t)) and "<|" not in t and not ODD.search(t)
-                 for t in texts]
-        words = [t.lower().split() if p else [] for t, p in zip(texts, plain)]
-        seen = set().union(*words)
-        if len(self.words) > CACHE_WORDS:
-            self.learn(seen)
-        else:
-            self.learn(seen.difference(self.words))
-        return [b"".join(map(self.words.__getitem__, ws)) if p else self.whole(t)
-                for t, p, ws in zip(texts, plain, words)]
+        plain = [(t.isascii() or unicodedata.is_normalized("NFC", t)) and not any(map(t.__contains__, ODD)) for t in texts]
+        runs, number, sizes = text_runs([t if p else "" for t, p in zip(texts, plain)])
+        self.learn(runs)
+        ids, ends = runs_coded(self.words, runs, number, sizes, "<u4")
+        data, ends = memoryview(ids.tobytes()), (4 * ends).tolist()
+        return [bytes(data[a:b]) if p else self.whole(t) for t, p, a, b in zip(texts, plain, [0, *ends], ends)]
 
 
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, keep_ids: bool = True,

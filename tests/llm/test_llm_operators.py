@@ -435,6 +435,19 @@ def test_common_subsequence():
 
 
 # ------------------------------------------------------------------ 8
+def test_words_are_looked_up_by_block():
+    """Words come from one split of a block; letters beyond ASCII need no encoding of their own."""
+    texts = ["", " ", "a", "a\u00a0b\u2003c", "x²y ½ Ⅳa ½", "é é ﬁ ǅ ŉ ß É", "a\x1cb", "it's We'LL 'S", "a_b __ 12 3a4", "<|endoftext|> a",
+             "日本語 テスト １２", "K Å", "İ ΑΣ", "x\ty\x0bz\r\n q", "\x00a \x7f b\x80", "😀x😀 — “q”", "größe garçon niñez"]
+    cache = packing.WordCache(packing.default_tokenizer())
+    want = [np.asarray(cache.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    encoded, whole = [], cache.whole
+    cache.whole = lambda t: encoded.append(t) or whole(t)
+    for _ in range(2):
+        assert cache.encode(texts) == want == [i for t in texts for i in cache.encode([t])]
+    assert not {"größe", "garçon", "niñez", "日本語"} & set(encoded)
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
