@@ -191,6 +191,28 @@ def test_line_dedup(spark, docs, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_features_of_any_length(spark):
+    """Width of the sums' fields and repeated pairs do not show; long lines take linear time."""
+    import time
+
+    rng = random.Random(8)
+    lines = [" ".join(rng.choices(EN, k=n)) for n in (3, 7, 8, 9, 127, 128, 129, 511, 512, 600)]
+    lines.append(" ".join(f"{w}{i}" for i in range(800) for w in EN))
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    began = time.monotonic()
+    got = by_id(line_dedup.simhashes(table))
+    assert time.monotonic() - began < 12
+    pair = {(d, r["p"]): -r["n"] for d, r in ((r["doc_id"], r) for r in line_dedup.lines_of(table).select(
+        "doc_id", F.explode(F.expr("transform(sequence(1, size(split(line, ' ')) - 1), i -> struct(-length(split(line, ' ')[i - 1]) - length(split(line, ' ')[i]) AS n, "
+                                   "xxhash64(split(line, ' ')[i - 1], split(line, ' ')[i]) AS p))")).alias("s")).where("doc_id < 10").select("doc_id", "s.n", "s.p").collect())}
+    words = {w: h for w, h in spark.createDataFrame([(w,) for w in EN], "w string").select("w", F.xxhash64("w")).collect()}
+    for i, line in enumerate(lines[:10]):
+        hashes = [words[w] for w in line.split()]
+        assert got[i]["sim"] == sum(1 << k for k in range(63) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+        assert got[i]["size"] == len(line)
+        assert got[i]["pairs"] == [p for _, p in sorted((-n, p) for (d, p), n in pair.items() if d == i)][:line_dedup.PAIRS]
+
+
 def test_line_links_beyond_simhash(spark):
     rng = random.Random(21)
     vocabulary = ["".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
