@@ -5,6 +5,8 @@ import itertools
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from terrace.llm import collocations, common, filter_audit, substring_dedup
@@ -174,3 +176,12 @@ def test_collocations_equal_counting_all_phrases(docs, empty, monkeypatch, top,
     assert len(want) > 10 and sorted(map(tuple, got.collect())) == want
     if top == 5:
         assert collocations.collocations(empty).collect() == []
+
+
+def test_phrase_rows_do_not_grow_with_copies():
+    base = np.append(np.random.default_rng(1).integers(0, 50, 300), collocations.GAP)
+    made = []
+    for copies in (1, 10, 100):
+        unit = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([collocations._packed(np.tile(base, copies))], pa.binary())], ["unit", "ids"])
+        made.append(sum(b.num_rows for b in collocations.unit_phrases(4)([unit])))
+    assert made[0] == made[1] == made[2] <= 297
