@@ -213,6 +213,50 @@ def test_line_features_of_any_length(spark):
         assert got[i]["pairs"] == [p for _, p in sorted((-n, p) for (d, p), n in pair.items() if d == i)][:line_dedup.PAIRS]
 
 
+def test_lines_that_share_a_pair_are_not_all_compared(spark):
+    """Lines of one length that share their longest pair but differ in letters; copies still go."""
+    import glob
+    import os
+
+    rng = random.Random(5)
+    lines = []
+    for _ in range(300):
+        letters = rng.sample("abcdefghijklmnopqrstuvwxyz", 6)
+        words = ["".join(rng.choices(letters, k=4)) for _ in range(30)]
+        lines.append(" ".join([*words[:15], "extraordinarily indistinguishable", *words[15:]]))
+    texts = [*enumerate(lines), *((1000 + i, lines[i].replace("extra", "extre", 1) + "s") for i in range(20))]
+    base = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(glob.glob(f"{base}/terrace/line-*"))
+    got = by_id(line_dedup.dedup_lines(spark.createDataFrame(texts, "doc_id long, text string")))
+    made = set(glob.glob(f"{base}/terrace/line-*")) - before
+    compared = sum(spark.read.parquet(p).count() for p in made if os.path.basename(p).startswith("line-pairs"))
+    assert 20 <= compared < 300 * 299 / 2 / 20
+    assert {i for i, r in got.items() if r["n_removed"]} == {1000 + i for i in range(20)}
+
+
+def test_letter_counts_rule_out_no_link(spark):
+    """Lines within the edit similarity pass the count of letters and the test of their ends."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(400):
+        a = [rng.choice(" etaoinsrhldcumxyz\u00e9\u4e16") for _ in range(rng.choice((5, 20, 60, 300, 5000 if i % 40 == 0 else 90)))]
+        b = list(a)
+        for _ in range(int(len(a) * rng.choice((0.02, 0.08, 0.1, 0.12)))):
+            j = rng.randrange(len(b))
+            b[j:j + 1] = rng.choice(([], [rng.choice("eaxz")], [b[j], rng.choice("et ")]))
+        rows.append((2 * i, 2 * i + 1, "".join(a), "".join(b)))
+    table = common.stored(spark.createDataFrame(rows, "a long, b long, ta string, tb string"), "test-lines")
+    side = lambda t: F.expr(f"struct(length({t}) AS size, CAST(NULL AS BIGINT) AS sim, {line_dedup.letter_counts(t)} AS l)")
+    seen = table.select("*", side("ta").alias("p"), side("tb").alias("q"),
+                        F.expr("levenshtein(ta, tb) <= floor(greatest(length(ta), length(tb)) * 0.1D + 1e-9D)").alias("link"))
+    flat = lambda c: F.struct(f"{c}.size", f"{c}.sim", f"{c}.l.l1", f"{c}.l.l2")
+    seen = seen.select("a", "b", "link", flat("p").alias("p"), flat("q").alias("q")).withColumn("can", F.expr(line_dedup.can_link(0.9, "p", "q")))
+    links = {(r.a, r.b) for r in seen.where("link").collect()}
+    assert len(links) > 100 and seen.where("link AND NOT can").count() == 0
+    texts = table.select(F.col("a").alias("h"), F.col("ta").alias("norm")).unionByName(table.select(F.col("b").alias("h"), F.col("tb").alias("norm")))
+    assert {(r.a, r.b) for r in line_dedup._linked(table.select("a", "b"), texts, 0.9).collect()} == links
+
+
 def test_line_links_beyond_simhash(spark):
     rng = random.Random(21)
     vocabulary = ["".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
