@@ -257,6 +257,35 @@ def test_letter_counts_rule_out_no_link(spark):
     assert {(r.a, r.b) for r in line_dedup._linked(table.select("a", "b"), texts, 0.9).collect()} == links
 
 
+def test_links_are_found_by_words_and_middles(spark):
+    """Words changed, added, dropped, split and repeated at any place; long copies take little time."""
+    import time
+
+    rng = random.Random(9)
+    rows = []
+    for i in range(600):
+        a = [rng.choice(("a", "bb", "abc", "abcd", "xyzxyz", "\u00e9t\u00e9")) for _ in range(rng.choice((3, 8, 25, 60)))]
+        b = list(a)
+        for _ in range(rng.randint(1, 4)):
+            j = rng.choice((0, len(b) - 1, rng.randrange(len(b))))
+            b[j:j + 1] = rng.choice(([rng.choice(("abd", "zz"))], [b[j], b[j]], [b[j] + "q"], [b[j][:1], b[j]], [] if len(b) > 1 else ["q"]))
+        rows.append((2 * i, 2 * i + 1, " ".join(a), " ".join(b)))
+    rows = [r for r in rows if r[2] != r[3]]
+    table = common.stored(spark.createDataFrame(rows, "a long, b long, ta string, tb string"), "test-lines")
+    sides = lambda t: t.select(F.col("a").alias("h"), F.col("ta").alias("norm")).unionByName(t.select(F.col("b").alias("h"), F.col("tb").alias("norm")))
+    want = {(r.a, r.b) for r in table.where("levenshtein(ta, tb) <= floor(greatest(length(ta), length(tb)) * 0.1D + 1e-9D)").collect()}
+    assert 50 < len(want) < len(rows)
+    assert {(r.a, r.b) for r in line_dedup._linked(table.select("a", "b"), sides(table), 0.9).collect()} == want
+    long = []
+    for i in range(8):
+        a = [rng.choice(EN) + str(rng.randrange(99)) for _ in range(10_000)]
+        long.append((2 * i, 2 * i + 1, " ".join(a), " ".join(w[::-1] if j % 12 == 5 else w for j, w in enumerate(a))))
+    table = common.stored(spark.createDataFrame(long, "a long, b long, ta string, tb string"), "test-lines")
+    began = time.monotonic()
+    assert line_dedup._linked(table.select("a", "b"), sides(table), 0.9).count() == 8
+    assert time.monotonic() - began < 12
+
+
 def test_line_links_beyond_simhash(spark):
     rng = random.Random(21)
     vocabulary = ["".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
