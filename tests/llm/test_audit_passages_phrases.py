@@ -185,3 +185,20 @@ def test_phrase_rows_do_not_grow_with_copies():
         unit = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([collocations._packed(np.tile(base, copies))], pa.binary())], ["unit", "ids"])
         made.append(sum(b.num_rows for b in collocations.unit_phrases(4)([unit])))
     assert made[0] == made[1] == made[2] <= 297
+
+
+def test_units_come_one_at_a_time(spark, monkeypatch):
+    """A task holds one unit of a file, however many lie in it."""
+    words, phrases = collocations.unit_words, collocations.unit_phrases
+
+    def alone(batches):
+        for b in batches:
+            assert b.num_rows == 1
+            yield b
+
+    monkeypatch.setattr(collocations, "unit_words", lambda batches: words(alone(batches)))
+    monkeypatch.setattr(collocations, "unit_phrases", lambda k: lambda batches: phrases(k)(alone(batches)))
+    table = spark.createDataFrame([(f"l{i}", "one two three. " * 40) for i in range(6)], "lang string, text string").coalesce(1)
+    before = spark.conf.get(collocations.BATCH)
+    got = collocations.collocations(table)
+    assert got.groupBy("lang").count().count() == 6 and spark.conf.get(collocations.BATCH) == before
